@@ -60,5 +60,5 @@ def split_rows(df: DataFrame, source: str, delimiter: str, out: str) -> DataFram
 
     Null and blank texts give no row; repeated elements stay repeated.
     """
-    pieces = F.split(F.col(source), re.escape(delimiter))
-    return df.withColumn(out, F.explode(F.transform(pieces, norm_key))).filter(F.col(out) != "")
+    pieces = df.withColumn("_piece", F.explode(F.split(F.col(source), re.escape(delimiter))))
+    return pieces.withColumn(out, norm_key("_piece")).drop("_piece").filter(F.col(out) != "")

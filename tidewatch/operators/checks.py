@@ -9,8 +9,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions import count_where
-
 
 def unique(df: DataFrame, column: str) -> DataFrame:
     """Non-null values that occur more than once."""
@@ -66,71 +64,107 @@ class TableRules:
     strict: tuple[str, ...] = ()
 
 
-def _line(kind: str, table: str, column: str, severity: str, failures):
-    return F.struct(
-        F.lit(kind).alias("check_name"),
-        F.lit(table).alias("table_name"),
-        F.lit(column).alias("column_name"),
-        F.lit(severity).alias("severity"),
-        failures.cast("bigint").alias("failures"),
-    )
-
+@dataclass(frozen=True)
+class Overlap:
+    """No value of one column may occur in another (severity error)."""
 
-def _lines(totals: DataFrame, lines: Sequence) -> DataFrame:
-    return totals.select(F.explode(F.array(*lines)).alias("_line")).select("_line.*")
+    name: str
+    table: str
+    column: str
+    other_table: str
+    other_column: str
 
 
-def _check_table(
-    df: DataFrame, name: str, rules: TableRules, tables: Mapping[str, DataFrame]
-) -> list[DataFrame]:
-    """One-row-per-check frames: key and null checks share one aggregate over the key."""
-    key = F.col(rules.key)
-    nullable = [rules.key, *rules.not_null]
-    per_key = df.groupBy(rules.key).agg(
-        F.count("*").alias("_n"),
-        *(count_where(F.col(c).isNull()).alias(f"_null_{c}") for c in rules.not_null),
-    )
-    totals = per_key.agg(
-        count_where(key.isNotNull() & (F.col("_n") > 1)).alias("_repeated"),
-        F.coalesce(F.sum(F.when(key.isNull(), F.col("_n"))), F.lit(0)).alias(f"_null_{rules.key}"),
-        *(F.coalesce(F.sum(f"_null_{c}"), F.lit(0)).alias(f"_null_{c}") for c in rules.not_null),
-    )
-    frames = [
-        _lines(
-            totals,
-            [
-                _line("unique", name, rules.key, "error", F.col("_repeated")),
-                *(_line("not_null", name, c, "error", F.col(f"_null_{c}")) for c in nullable),
-            ],
-        )
-    ]
-    for column, values in rules.accepted.items():
-        severity = "error" if column in rules.strict else "warn"
-        odd = accepted_values(df, column, values).agg(F.count("*").alias("_odd"))
-        frames.append(
-            _lines(odd, [_line("accepted_values", name, column, severity, F.col("_odd"))])
-        )
-    for ref in rules.references:
-        orphans = relationships(df, ref.column, tables[ref.parent], ref.parent_column)
-        total = orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("_orphans"))
-        frames.append(
-            _lines(total, [_line("relationships", name, ref.column, "warn", F.col("_orphans"))])
+@dataclass(frozen=True)
+class _Check:
+    kind: str
+    table: str
+    column: str
+    severity: str
+    probe: str
+    accepted: tuple[str, ...] = ()
+    parent: tuple[str, str] | None = None
+    name: str | None = None
+
+
+def _checks(rules: Mapping[str, TableRules], overlaps: Sequence[Overlap]) -> list[_Check]:
+    found = []
+    for table, r in rules.items():
+        found.append(_Check("unique", table, r.key, "error", f"{table}.{r.key}"))
+        for c in (r.key, *r.not_null):
+            found.append(_Check("not_null", table, c, "error", f"{table}.{c}"))
+        for c, values in r.accepted.items():
+            severity = "error" if c in r.strict else "warn"
+            probe = f"{table}.{c} accepted"
+            found.append(_Check("accepted_values", table, c, severity, probe, accepted=values))
+        for ref in r.references:
+            probe = f"{table}.{ref.column} in {ref.parent}"
+            parent = (ref.parent, ref.parent_column)
+            found.append(
+                _Check("relationships", table, ref.column, "warn", probe, parent=parent)
+            )
+    for o in overlaps:
+        probe, parent = f"{o.name}", (o.other_table, o.other_column)
+        found.append(
+            _Check("overlap", o.table, o.column, "error", probe, parent=parent, name=o.name)
         )
-    return frames
+    return found
 
 
-def assert_empty(df: DataFrame, name: str, table: str, column: str) -> DataFrame:
-    """A check that holds when a query gives no row."""
-    failures = df.agg(F.count("*").alias("_rows"))
-    return _lines(failures, [_line(name, table, column, "error", F.col("_rows"))])
+def _offer(probe: str, column: str, held: int, known: int) -> str:
+    return f"'{probe}', cast({column} as string), {held}, {known}"
 
 
 def report(
     tables: Mapping[str, DataFrame],
     rules: Mapping[str, TableRules],
-    extra: Sequence[DataFrame] = (),
+    overlaps: Sequence[Overlap] = (),
 ) -> DataFrame:
-    """One row per check: failures as the number of failing rows or values, and the verdict."""
-    frames = [f for name, r in rules.items() for f in _check_table(tables[name], name, r, tables)]
-    lines = reduce(DataFrame.unionByName, [*frames, *extra])
-    return lines.withColumn("passed", F.col("failures") == 0)
+    """One row per check: failures as the number of failing rows or values, and the verdict.
+
+    All checks are answered by one census of values: each table is read once and offers the
+    values of its checked columns, as held by the column or as known to it (parents and
+    accepted values); they are counted per check and value, combined before the shuffle.
+    A value that a third of the rows hold is one row of a task, and no join is needed.
+    """
+    checks = _checks(rules, overlaps)
+    offers: dict[str, list[str]] = {}
+    for c in {c.probe: c for c in checks}.values():
+        offers.setdefault(c.table, []).append(_offer(c.probe, c.column, 1, 0))
+        if c.parent:
+            table, column = c.parent
+            offers.setdefault(table, []).append(_offer(c.probe, column, 0, 1))
+    scans = [
+        tables[name].selectExpr(f"stack({len(o)}, {', '.join(o)}) as (probe, value, held, known)")
+        for name, o in offers.items()
+    ]
+    spark = scans[0].sparkSession
+    listed = [(c.probe, v, 0, 1) for c in checks for v in c.accepted]
+    if listed:
+        scans.append(
+            spark.createDataFrame(listed, "probe string, value string, held int, known int")
+        )
+    held, known = F.sum("held").alias("held"), F.max("known").alias("known")
+    census = reduce(DataFrame.unionByName, scans).groupBy("probe", "value").agg(held, known)
+    totals = census.groupBy("probe").agg(
+        F.expr("count_if(value is not null and held > 1) as unique"),
+        F.expr("sum(held) filter (where value is null) as not_null"),
+        F.expr("count_if(value is not null and held > 0 and known = 0) as accepted_values"),
+        F.expr("sum(held) filter (where value is not null and known = 0) as relationships"),
+        F.expr("sum(held) filter (where value is not null and known = 1) as overlap"),
+    )
+    lines = spark.createDataFrame(
+        [(c.probe, c.kind, c.name or c.kind, c.table, c.column, c.severity) for c in checks],
+        "probe string, kind string, check_name string, table_name string, "
+        "column_name string, severity string",
+    )
+    kinds = ("unique", "not_null", "accepted_values", "relationships", "overlap")
+    failures = F.coalesce(*(F.when(F.col("kind") == k, F.col(k)) for k in kinds), F.lit(0))
+    return lines.join(totals, "probe", "left").select(
+        "check_name",
+        "table_name",
+        "column_name",
+        "severity",
+        failures.alias("failures"),
+        (failures == 0).alias("passed"),
+    )

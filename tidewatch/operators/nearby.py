@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.functions import count_where
-
 
 def counts_around(
     centres: DataFrame,
@@ -15,12 +13,13 @@ def counts_around(
     centre_date: str,
     event_date: str,
     days: int,
-    flags: dict[str, object],
+    flags: dict[str, str],
 ) -> DataFrame:
     """One row per distinct (key, centre date): events of the same key within +-``days``.
 
     Gives ``centres`` (rows of ``centres`` on that date), ``in_window``, ``before`` (strictly
-    before the centre date), ``on_or_after``, and the in-window count of each flag.
+    before the centre date), ``on_or_after``, and the in-window count of each flag (a name
+    and its SQL condition).
 
     An interval join would pair every event with every centre near it, and a hot key would
     carry most of the pairs. Here both sides are first counted per (key, day), combined
@@ -32,7 +31,7 @@ def counts_around(
         .groupBy(key, F.col(event_date).alias(centre_date))
         .agg(
             F.count("*").alias("_events"),
-            *(count_where(c).alias(f"_{name}") for name, c in flags.items()),
+            *(F.expr(f"count_if({c}) as _{name}") for name, c in flags.items()),
         )
     )
     marks = (
@@ -40,20 +39,18 @@ def counts_around(
         .groupBy(key, centre_date)
         .agg(F.count("*").alias("centres"))
     )
-    days_of_key = Window.partitionBy(key).orderBy("_day")
-    around = days_of_key.rangeBetween(-days, days)
-    before = days_of_key.rangeBetween(-days, -1)
+    around = Window.partitionBy(key).orderBy("_day").rangeBetween(-days, days)
+    before = Window.partitionBy(key).orderBy("_day").rangeBetween(-days, -1)
+    totals = {"in_window": F.sum("_events").over(around), "before": F.sum("_events").over(before)}
+    totals |= {name: F.sum(f"_{name}").over(around) for name in flags}
     counted = (
         daily.unionByName(marks, allowMissingColumns=True)
         .withColumn("_day", F.unix_date(F.col(centre_date)))
-        .select(
-            key,
-            centre_date,
-            "centres",
-            F.coalesce(F.sum("_events").over(around), F.lit(0)).alias("in_window"),
-            F.coalesce(F.sum("_events").over(before), F.lit(0)).alias("before"),
-            *(F.coalesce(F.sum(f"_{f}").over(around), F.lit(0)).alias(f) for f in flags),
-        )
-        .filter(F.col("centres").isNotNull())
+        .withColumns(totals)
+        .filter("centres is not null")
+    )
+    return counted.selectExpr(
+        *(key, centre_date, "centres"),
+        *(f"coalesce({name}, 0) as {name}" for name in totals),
+        "coalesce(in_window, 0) - coalesce(before, 0) as on_or_after",
     )
-    return counted.withColumn("on_or_after", F.col("in_window") - F.col("before"))

@@ -23,8 +23,8 @@ def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         )
     )
     per_value = (
-        df.select(F.explode(cells).alias("cell"))
-        .groupBy("cell.column_name", "cell.value")
+        df.select(F.inline(cells))
+        .groupBy("column_name", "value")
         .agg(F.count("*").alias("n"))
     )
     total = per_value.groupBy("column_name").agg(

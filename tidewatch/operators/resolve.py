@@ -34,17 +34,16 @@ def resolve_requesters(tickets: DataFrame, identities: DataFrame, settings: Sett
         spread_by="ticket_id",
         salts=settings.salts_for(tickets.sparkSession),
     ).drop("email")
-    by_investor, by_rm = F.col("investor_id").isNotNull(), F.col("rm_id").isNotNull()
     return matched.withColumns(
         {
-            "matched_investor": by_investor,
-            "matched_rm": by_rm,
-            "requester_matched_both": by_investor & by_rm,
+            "matched_investor": F.expr("investor_id is not null"),
+            "matched_rm": F.expr("rm_id is not null"),
+            "requester_matched_both": F.expr("investor_id is not null and rm_id is not null"),
             **{name: email.like(p) for name, p in settings.internal_domains.items()},
             "requester_type": classify(
                 [
-                    ("investor", by_investor),
-                    ("relationship_manager", by_rm),
+                    ("investor", F.expr("investor_id is not null")),
+                    ("relationship_manager", F.expr("rm_id is not null")),
                     ("internal", email.like(settings.internal_pattern)),
                 ],
                 otherwise="unknown",

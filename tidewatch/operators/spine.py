@@ -5,25 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def points(key: dict[str, Column], measures: dict[str, Column]) -> Column:
-    """One contribution of a row to a series, to be passed to ``row_points``."""
-    return F.struct(
-        *(c.alias(name) for name, c in key.items()),
-        *(c.cast("bigint").alias(name) for name, c in measures.items()),
-    )
-
-
-def row_points(df: DataFrame, *series: tuple[Column, Column]) -> DataFrame:
-    """Contributions of each row to several series, in one scan.
+def row_points(df: DataFrame, columns: Sequence[str], points: Sequence[str]) -> DataFrame:
+    """Contributions of each row to several series, in one scan of ``df``.
 
-    Each series is a (condition, struct) pair; all structs have the same fields.
+    A point is an SQL list: the condition under which the row has it, then its columns.
     """
-    offered = F.array(*(F.when(condition, point) for condition, point in series))
-    return df.select(F.explode(F.array_compact(offered)).alias("_point")).select("_point.*")
+    stacked = f"stack({len(points)}, {', '.join(points)}) as (_on, {', '.join(columns)})"
+    return df.selectExpr(stacked).filter("_on").drop("_on")
 
 
 def align(series: Sequence[DataFrame], keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
@@ -34,8 +26,8 @@ def align(series: Sequence[DataFrame], keys: Sequence[str], measures: Sequence[s
     null part is kept as a row of zeros.
     """
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), series)
-    complete = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
+    complete = " and ".join(f"{k} is not null" for k in keys)
     totals = rows.groupBy(*keys).agg(*(F.sum(m).alias(m) for m in measures))
-    return totals.select(
-        *keys, *(F.coalesce(F.when(complete, F.col(m)), F.lit(0)).alias(m) for m in measures)
+    return totals.selectExpr(
+        *keys, *(f"coalesce(case when {complete} then {m} end, 0) as {m}" for m in measures)
     )

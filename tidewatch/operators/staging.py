@@ -3,73 +3,73 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tidewatch.functions import blank_to_null, norm_key
 
+def _clean(column: str, out: str | None = None) -> str:
+    return f"trim({column}) as {out or column}"
 
-def _time(name: str):
-    return F.col(name).cast("timestamp_ntz").alias(name)
 
+def _key(column: str, out: str | None = None) -> str:
+    """Text that rows are matched or counted by."""
+    return f"lower(trim({column})) as {out or column}"
 
-def _clean(name: str, out: str | None = None):
-    return F.trim(F.col(name)).alias(out or name)
 
-
-def _key(name: str, out: str | None = None):
-    return norm_key(name).alias(out or name)
+def _as(kind: str, column: str, out: str | None = None) -> str:
+    return f"cast({column} as {kind}) as {out or column}"
 
 
 def stage_tickets(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return raw.selectExpr(
         "ticket_id",
         _key("requester_email"),
         _clean("requester_name"),
         _clean("subject"),
         _key("status"),
         _key("priority"),
-        _time("created_at"),
-        _time("resolved_at"),
-        F.col("tags").alias("tags_raw"),
-        blank_to_null("partner_label").alias("partner_label"),
+        _as("timestamp_ntz", "created_at"),
+        _as("timestamp_ntz", "resolved_at"),
+        "tags as tags_raw",
+        "nullif(trim(partner_label), '') as partner_label",
     )
 
 
 def stage_entities(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return raw.selectExpr(
         "entity_id", _clean("entity_name"), "partner_id", _key("entity_type"), _key("kyc_status")
     )
 
 
 def stage_closes(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return raw.selectExpr(
         "close_id",
         "fund_id",
         _clean("fund_name"),
         "partner_id",
-        F.col("close_number").cast("int").alias("close_number"),
-        F.col("scheduled_close_date").cast("date").alias("scheduled_close_date"),
+        _as("int", "close_number"),
+        _as("date", "scheduled_close_date"),
         _key("close_status"),
-        F.col("total_committed_aum").cast("bigint").alias("total_committed_aum_gbp"),
+        _as("bigint", "total_committed_aum", "total_committed_aum_gbp"),
     )
 
 
 def stage_investors(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return raw.selectExpr(
         "investor_id",
         "user_id",
         _key("email"),
         _clean("full_name"),
         "entity_id",
         _clean("country"),
-        _time("created_at"),
+        _as("timestamp_ntz", "created_at"),
         "relationship_manager_id",
     )
 
 
 def stage_partners(raw: DataFrame) -> DataFrame:
-    return raw.select("partner_id", _clean("partner_name"), _key("partner_type"))
+    return raw.selectExpr("partner_id", _clean("partner_name"), _key("partner_type"))
 
 
 def stage_managers(raw: DataFrame) -> DataFrame:
-    return raw.select("rm_id", "partner_id", _clean("name", "rm_name"), _key("email", "rm_email"))
+    return raw.selectExpr(
+        "rm_id", "partner_id", _clean("name", "rm_name"), _key("email", "rm_email")
+    )

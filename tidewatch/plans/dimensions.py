@@ -55,13 +55,14 @@ def dim_entity(entities: DataFrame, partners: DataFrame) -> DataFrame:
 
 def close_calendar(closes: DataFrame, settings: Settings) -> DataFrame:
     """Closes with week, month, and whether they are upcoming, or upcoming but overdue."""
-    day, upcoming = F.col("scheduled_close_date"), F.col("close_status") == "upcoming"
     return closes.withColumns(
         {
-            "close_week": week_start(day),
-            "close_month": month_start(day),
-            "is_upcoming": upcoming,
-            "is_stale_upcoming": upcoming & (day < settings.today()),
+            "close_week": week_start("scheduled_close_date"),
+            "close_month": month_start("scheduled_close_date"),
+            "is_upcoming": F.expr("close_status = 'upcoming'"),
+            "is_stale_upcoming": F.expr(
+                f"close_status = 'upcoming' and scheduled_close_date < {settings.today_sql}"
+            ),
         }
     )
 

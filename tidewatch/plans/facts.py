@@ -23,11 +23,11 @@ def ticket_measures(tickets: DataFrame, settings: Settings) -> DataFrame:
     that uses nothing else is planned on staged tickets, without the joins."""
     return tickets.withColumns(
         {
-            "created_date": F.to_date("created_at"),
+            "created_date": F.expr("date(created_at)"),
             "created_week": week_start("created_at"),
             "created_month": month_start("created_at"),
-            "is_resolved": F.col("resolved_at").isNotNull(),
-            "is_open": F.col("status").isin(*settings.open_statuses),
+            "is_resolved": F.expr("resolved_at is not null"),
+            "is_open": F.expr(settings.open_sql),
             "resolution_hours": hours_between("created_at", "resolved_at"),
         }
     )
@@ -36,10 +36,10 @@ def ticket_measures(tickets: DataFrame, settings: Settings) -> DataFrame:
 def ticket_fact(resolved: DataFrame, settings: Settings) -> DataFrame:
     """One row per ticket, from resolved and attributed tickets."""
     ambiguous = {
-        "investor_email_is_ambiguous": F.coalesce("investor_match_count", F.lit(0)) > 1,
-        "rm_email_is_ambiguous": F.coalesce("rm_match_count", F.lit(0)) > 1,
+        "investor_email_is_ambiguous": F.expr("coalesce(investor_match_count, 0) > 1"),
+        "rm_email_is_ambiguous": F.expr("coalesce(rm_match_count, 0) > 1"),
     }
-    return ticket_measures(resolved, settings).withColumns(ambiguous).select(*FACT_COLUMNS)
+    return ticket_measures(resolved, settings).withColumns(ambiguous).selectExpr(*FACT_COLUMNS)
 
 
 def ticket_tags(resolved: DataFrame) -> DataFrame:

@@ -5,22 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions import count_where, month_start, pct, round_half_up, week_start
+from tidewatch.functions import month_start, pct, round_half_up, week_start
 from tidewatch.operators.lookup import spread_lookup
 from tidewatch.operators.median import exact_median
 from tidewatch.operators.nearby import counts_around
-from tidewatch.operators.spine import align, points, row_points
+from tidewatch.operators.spine import align, row_points
 from tidewatch.plans.dimensions import with_partner
 from tidewatch.settings import Settings
 from tidewatch.sources.tables import write_once
 
 
-def _zero(name: str):
-    return F.coalesce(F.col(name), F.lit(0)).alias(name)
-
-
-def _urgent(settings: Settings):
-    return F.col("priority").isin(*settings.high_priorities)
+def _zero(name: str) -> str:
+    return f"coalesce({name}, 0) as {name}"
 
 
 def investor_summary(investors: DataFrame, tickets: DataFrame) -> DataFrame:
@@ -33,26 +29,27 @@ def investor_summary(investors: DataFrame, tickets: DataFrame) -> DataFrame:
     own = tickets.filter("requester_type = 'investor' and investor_id is not null")
     counted = write_once(
         own.groupBy("investor_id", "resolution_hours").agg(
-            F.count("*").alias("tickets"),
-            count_where(F.col("is_resolved")).alias("resolved"),
-            count_where(F.col("is_open")).alias("opened"),
-            count_where(F.col("priority") == "urgent").alias("urgent"),
-            count_where(F.col("priority") == "high").alias("high"),
-            F.min("created_at").alias("first_at"),
-            F.max("created_at").alias("last_at"),
+            F.expr("count(*) as tickets"),
+            F.expr("count_if(is_resolved) as resolved"),
+            F.expr("count_if(is_open) as opened"),
+            F.expr("count_if(priority = 'urgent') as urgent"),
+            F.expr("count_if(priority = 'high') as high"),
+            F.expr("min(created_at) as first_at"),
+            F.expr("max(created_at) as last_at"),
         )
     )
     totals = counted.groupBy("investor_id").agg(
-        F.sum("tickets").alias("ticket_count"),
-        F.sum("resolved").alias("resolved_count"),
-        F.sum("opened").alias("open_count"),
-        F.sum("urgent").alias("urgent_count"),
-        F.sum("high").alias("high_count"),
+        F.expr("sum(tickets) as ticket_count"),
+        F.expr("sum(resolved) as resolved_count"),
+        F.expr("sum(opened) as open_count"),
+        F.expr("sum(urgent) as urgent_count"),
+        F.expr("sum(high) as high_count"),
         F.expr(
             "sum(resolution_hours * tickets) / sum(if(resolution_hours is null, null, tickets))"
-        ).alias("avg_resolution_hours"),
-        F.min("first_at").alias("first_ticket_at"),
-        F.max("last_at").alias("last_ticket_at"),
+            " as avg_resolution_hours"
+        ),
+        F.expr("min(first_at) as first_ticket_at"),
+        F.expr("max(last_at) as last_ticket_at"),
     )
     medians = exact_median(
         counted, "investor_id", "resolution_hours", "tickets", "median_resolution_hours"
@@ -61,7 +58,7 @@ def investor_summary(investors: DataFrame, tickets: DataFrame) -> DataFrame:
     return (
         investors.join(totals, "investor_id", "left")
         .join(medians, "investor_id", "left")
-        .select(
+        .selectExpr(
             *("investor_id", "full_name", "email", "country"),
             *("entity_id", "entity_name", "entity_type", "kyc_status"),
             *("partner_id", "partner_name", "partner_type", "is_rm_managed"),
@@ -72,38 +69,29 @@ def investor_summary(investors: DataFrame, tickets: DataFrame) -> DataFrame:
     )
 
 
-def _close_points(closes: DataFrame, keys: dict, amount: str) -> DataFrame:
-    status = F.col("close_status")
-    measures = {
-        "closes_scheduled": F.lit(1),
-        "closes_completed": (status == "completed").cast("int"),
-        "closes_upcoming": (status == "upcoming").cast("int"),
-        amount: F.col("total_committed_aum_gbp"),
-    }
-    return row_points(closes, (F.lit(True), points(keys, measures)))
+def _close_points(closes: DataFrame, amount: str, *keys: str) -> DataFrame:
+    return closes.selectExpr(
+        *keys,
+        "close_week as week_start",
+        "1 as closes_scheduled",
+        "int(close_status = 'completed') as closes_completed",
+        "int(close_status = 'upcoming') as closes_upcoming",
+        f"total_committed_aum_gbp as {amount}",
+    )
 
 
 def team_pressure_weekly(tickets: DataFrame, closes: DataFrame, settings: Settings) -> DataFrame:
     """Tickets created and resolved, and closes, per week. A ticket is read once and gives
     a point in its creation week and, if resolved, one in its resolution week."""
-
-    def point(week, created, urgent, resolved):
-        return points(
-            {"week_start": week},
-            {"tickets_created": created, "tickets_high_urgent": urgent, "tickets_resolved": resolved},
-        )
-
-    nil = F.lit(0)
+    created = f"true, created_week, 1, int({settings.urgent_sql}), 0"
+    resolved = "resolved_at is not null, trunc(date(resolved_at), 'week'), 0, 0, 1"
     load = row_points(
         tickets,
-        (F.lit(True), point(F.col("created_week"), F.lit(1), _urgent(settings).cast("int"), nil)),
-        (F.col("resolved_at").isNotNull(), point(week_start("resolved_at"), nil, nil, F.lit(1))),
-    )
-    calendar = _close_points(
-        closes, {"week_start": F.col("close_week")}, "committed_aum_closing_gbp"
+        ["week_start", "tickets_created", "tickets_high_urgent", "tickets_resolved"],
+        [created, resolved],
     )
     return align(
-        [load, calendar],
+        [load, _close_points(closes, "committed_aum_closing_gbp")],
         ["week_start"],
         [
             *("tickets_created", "tickets_high_urgent", "tickets_resolved"),
@@ -117,31 +105,19 @@ def partner_pressure_weekly(
     tickets: DataFrame, closes: DataFrame, partners: DataFrame, settings: Settings
 ) -> DataFrame:
     """The weekly series per partner; tickets without a partner are left out."""
-    kind = F.col("requester_type")
-    load = row_points(
-        tickets.filter(F.col("partner_id").isNotNull()),
-        (
-            F.lit(True),
-            points(
-                {"partner_id": F.col("partner_id"), "week_start": F.col("created_week")},
-                {
-                    "tickets_created": F.lit(1),
-                    "tickets_high_urgent": _urgent(settings).cast("int"),
-                    "investor_tickets": (kind == "investor").cast("int"),
-                    "rm_tickets": (kind == "relationship_manager").cast("int"),
-                },
-            ),
-        ),
-    )
-    calendar = _close_points(
-        closes,
-        {"partner_id": F.col("partner_id"), "week_start": F.col("close_week")},
-        "committed_aum_gbp",
+    load = tickets.filter("partner_id is not null").selectExpr(
+        "partner_id",
+        "created_week as week_start",
+        "1 as tickets_created",
+        f"int({settings.urgent_sql}) as tickets_high_urgent",
+        "int(requester_type = 'investor') as investor_tickets",
+        "int(requester_type = 'relationship_manager') as rm_tickets",
     )
     measures = [
         *("tickets_created", "tickets_high_urgent", "investor_tickets", "rm_tickets"),
         *("closes_scheduled", "closes_completed", "closes_upcoming", "committed_aum_gbp"),
     ]
+    calendar = _close_points(closes, "committed_aum_gbp", "partner_id")
     weekly = align([load, calendar], ["partner_id", "week_start"], measures)
     return with_partner(weekly, partners).select(
         "partner_id", "partner_name", "partner_type", "week_start", *measures
@@ -156,7 +132,7 @@ def _counts_near_closes(closes: DataFrame, tickets: DataFrame, settings: Setting
         centre_date="scheduled_close_date",
         event_date="created_date",
         days=settings.window_days,
-        flags={"high_urgent": _urgent(settings)},
+        flags={"high_urgent": settings.urgent_sql},
     )
 
 
@@ -166,14 +142,14 @@ def close_pressure(closes: DataFrame, tickets: DataFrame, settings: Settings) ->
     Windows overlap: a ticket counts for every close it is near. The counts depend on
     partner and date only and are looked up by them.
     """
-    counts = _counts_near_closes(closes, tickets, settings).select(
+    counts = _counts_near_closes(closes, tickets, settings).selectExpr(
         *("partner_id", "scheduled_close_date"),
-        F.col("in_window").alias("tickets_in_window"),
-        F.col("before").alias("tickets_before_close"),
-        F.col("on_or_after").alias("tickets_on_or_after_close"),
-        F.col("high_urgent").alias("tickets_high_urgent"),
+        "in_window as tickets_in_window",
+        "before as tickets_before_close",
+        "on_or_after as tickets_on_or_after_close",
+        "high_urgent as tickets_high_urgent",
     )
-    described = closes.select(
+    described = closes.selectExpr(
         *("close_id", "fund_id", "fund_name", "close_number", "partner_id", "partner_name"),
         *("scheduled_close_date", "close_status", "total_committed_aum_gbp"),
     )
@@ -183,7 +159,7 @@ def close_pressure(closes: DataFrame, tickets: DataFrame, settings: Settings) ->
         ["partner_id", "scheduled_close_date"],
         spread_by="close_id",
         salts=settings.salts_for(closes.sparkSession),
-    ).select(
+    ).selectExpr(
         *described.columns,
         _zero("tickets_in_window"),
         _zero("tickets_before_close"),
@@ -200,19 +176,18 @@ def close_history(closes: DataFrame, tickets: DataFrame, settings: Settings) ->
     """
     completed = closes.filter(F.col("close_status") == "completed")
     near = _counts_near_closes(completed, tickets, settings)
-    total = F.sum("centres")
     return near.groupBy("partner_id").agg(
-        total.alias("completed_close_count"),
-        (F.sum(F.col("centres") * F.col("in_window")) / total).alias("avg_tickets"),
-        F.min("in_window").alias("min_tickets_observed"),
-        F.max("in_window").alias("max_tickets_observed"),
-        (F.sum(F.col("centres") * F.col("high_urgent")) / total).alias("avg_high_urgent"),
+        F.expr("sum(centres) as completed_close_count"),
+        F.expr("sum(centres * in_window) / sum(centres) as avg_tickets"),
+        F.expr("min(in_window) as min_tickets_observed"),
+        F.expr("max(in_window) as max_tickets_observed"),
+        F.expr("sum(centres * high_urgent) / sum(centres) as avg_high_urgent"),
     )
 
 
 def _live_upcoming(closes: DataFrame) -> DataFrame:
     """Upcoming closes that are not overdue."""
-    return closes.filter((F.col("close_status") == "upcoming") & ~F.col("is_stale_upcoming"))
+    return closes.filter("is_upcoming and not is_stale_upcoming")
 
 
 def staffing_forecast(closes: DataFrame, tickets: DataFrame, settings: Settings) -> DataFrame:
@@ -283,19 +258,21 @@ def theme_summary(tags: DataFrame, themes: DataFrame) -> DataFrame:
 def attribution_health(tickets: DataFrame, closes: DataFrame) -> DataFrame:
     """Weekly counts and rates of how tickets were attributed, with the present number of
     overdue upcoming closes on every row."""
-    kind, method = F.col("requester_type"), F.col("partner_attribution_method")
+    rows = {
+        "investor_tickets": "requester_type = 'investor'",
+        "rm_tickets": "requester_type = 'relationship_manager'",
+        "internal_tickets": "requester_type = 'internal'",
+        "unknown_tickets": "requester_type = 'unknown'",
+        "attr_investor_email": "partner_attribution_method = 'investor_email_match'",
+        "attr_rm_email": "partner_attribution_method = 'rm_email_match'",
+        "attr_label_fallback": "partner_attribution_method = 'partner_label_fallback'",
+        "attr_unresolved": "partner_attribution_method = 'unresolved'",
+        "ambiguous_investor_email_count": "investor_email_is_ambiguous",
+        "ambiguous_rm_email_count": "rm_email_is_ambiguous",
+    }
     weekly = tickets.groupBy(F.col("created_week").alias("week_start")).agg(
-        F.count("*").alias("total_tickets"),
-        count_where(kind == "investor").alias("investor_tickets"),
-        count_where(kind == "relationship_manager").alias("rm_tickets"),
-        count_where(kind == "internal").alias("internal_tickets"),
-        count_where(kind == "unknown").alias("unknown_tickets"),
-        count_where(method == "investor_email_match").alias("attr_investor_email"),
-        count_where(method == "rm_email_match").alias("attr_rm_email"),
-        count_where(method == "partner_label_fallback").alias("attr_label_fallback"),
-        count_where(method == "unresolved").alias("attr_unresolved"),
-        count_where(F.col("investor_email_is_ambiguous")).alias("ambiguous_investor_email_count"),
-        count_where(F.col("rm_email_is_ambiguous")).alias("ambiguous_rm_email_count"),
+        F.expr("count(*) as total_tickets"),
+        *(F.expr(f"count_if({condition}) as {name}") for name, condition in rows.items()),
     )
     stale = closes.filter("is_stale_upcoming").agg(F.count("*")).scalar()
     return weekly.withColumns(

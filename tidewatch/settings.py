@@ -10,6 +10,12 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
+def quoted(*texts: str) -> str:
+    """SQL literals of texts, separated by commas."""
+    escaped = (t.replace("\\", "\\\\").replace("'", "\\'") for t in texts)
+    return ", ".join(f"'{t}'" for t in escaped)
+
+
 @dataclass(frozen=True)
 class Settings:
     """Build parameters shared by all plans.
@@ -33,7 +39,20 @@ class Settings:
     salts: int | None = None
 
     def today(self) -> Column:
-        return F.current_date() if self.as_of is None else F.lit(self.as_of)
+        return F.expr(self.today_sql)
+
+    @property
+    def today_sql(self) -> str:
+        return "current_date()" if self.as_of is None else f"date '{self.as_of}'"
+
+    @property
+    def urgent_sql(self) -> str:
+        """Condition for a ticket of high priority."""
+        return f"priority in ({quoted(*self.high_priorities)})"
+
+    @property
+    def open_sql(self) -> str:
+        return f"status in ({quoted(*self.open_statuses)})"
 
     def salts_for(self, spark: SparkSession) -> int:
         """A hot key gets an eighth of the shuffle partitions, 256 at most.
