@@ -1,0 +1,107 @@
+from datetime import date
+
+import pytest
+from helpers import AS_OF, at, day, model, rows
+
+from fixture.extracts import warehouse
+from tidewatch import Settings, Warehouse
+from tidewatch.plans.warehouse import MARTS
+from tidewatch.sources import RAW, read_extract, read_extracts
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def write_csv(folder, name, header, *lines):
+    path = folder / f"{name}.csv"
+    path.write_text("\n".join([header, *lines]) + "\n")
+    return str(path)
+
+
+def test_csv_extract_has_the_declared_types(spark, tmp_path):
+    path = write_csv(
+        tmp_path,
+        "closes",
+        ",".join(RAW["closes"].names),
+        'k1,f1," Fund, One ",P1,2,2024-05-01,Completed ,45070000000',
+        "k2,f1,Fund,,3,,upcoming,",
+    )
+    df = read_extract(spark, "closes", path)
+    assert df.schema == RAW["closes"]
+    m = Warehouse({"closes": df}, Settings(as_of=AS_OF))
+    got = {r.close_id: r for r in m.closes.collect()}
+    assert (got["k1"].fund_name, got["k1"].close_status) == ("Fund, One", "completed")
+    assert got["k1"].scheduled_close_date == date(2024, 5, 1)
+    assert got["k1"].total_committed_aum_gbp == 45070000000
+    assert got["k2"].partner_id is None and got["k2"].scheduled_close_date is None
+
+
+def test_malformed_csv_fails(spark, tmp_path):
+    path = write_csv(tmp_path, "tag_themes", "tag,theme,theme_label,theme_sort_order", "a,b,c,first")
+    with pytest.raises(Exception, match="(?i)malformed|cannot"):
+        read_extract(spark, "tag_themes", path).collect()
+
+
+def test_folder_of_parquet_extracts(spark, tmp_path):
+    source = warehouse(spark, SF_DIR)
+    for name in RAW:
+        source.raw[name].write.parquet(str(tmp_path / f"{name}.parquet"))
+    m = Warehouse(read_extracts(spark, str(tmp_path), "parquet"), source.settings)
+    got = sorted(map(str, m.staffing_forecast.collect()))
+    assert got == sorted(map(str, source.staffing_forecast.collect())) and got
+
+
+def test_build_writes_every_mart(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS built")
+    m = warehouse(spark, SF_DIR)
+    done = m.build("built")
+    try:
+        stored = {t.name for t in spark.catalog.listTables("built")}
+        assert stored == set(MARTS)
+        for name in ("mart_is_pressure_weekly", "mart_investor_ticket_summary", "fct_tickets"):
+            derived = getattr(m, MARTS[name])
+            kept = spark.table(f"built.{name}").select(derived.columns)
+            assert sorted(map(str, kept.collect())) == sorted(map(str, derived.collect()))
+        assert "created_month" in spark.sql("SHOW PARTITIONS built.fct_tickets").first()[0]
+        assert done.ticket_fact.count() == m.tickets.count()
+    finally:
+        spark.sql("DROP DATABASE built CASCADE")
+
+
+def test_tables_can_be_queried_by_name(spark):
+    m = model(
+        spark,
+        Settings(as_of=None),
+        partners=[{"partner_id": "P1", "partner_name": " One"}],
+        rms=[{"rm_id": "R1", "partner_id": "P1", "email": "r@x", "name": "Rae"}],
+        tickets=[
+            {"ticket_id": 1, "requester_email": "r@x", "created_at": at("2024-01-01T00:00:00")},
+            {"ticket_id": 2, "requester_email": "r@x", "created_at": at("2099-01-01T00:00:00")},
+        ],
+        closes=[
+            {
+                "close_id": "K1",
+                "partner_id": "P1",
+                "scheduled_close_date": day("2099-02-01"),
+                "close_status": "upcoming",
+            }
+        ],
+    )
+    m.register_views()
+    recent = spark.sql(
+        """select partner_name, count(*) as n from fct_tickets join dim_partner using (partner_id)
+           where created_at >= current_date - interval '90' day group by partner_name"""
+    )
+    assert [tuple(r) for r in recent.collect()] == [("One", 1)]
+    ahead = spark.sql(
+        """select close_id, no_historical_data from mart_staffing_forecast
+           where pressure_window_end >= current_date order by scheduled_close_date"""
+    )
+    assert [tuple(r) for r in ahead.collect()] == [("K1", True)]
+    weeks = spark.sql("select count(*) from mart_is_pressure_weekly where tickets_created > 0")
+    assert weeks.first()[0] == 2
+
+
+def test_views_may_replace_the_extracts(spark):
+    """Raw extracts can be any DataFrame with the declared columns."""
+    raw = {name: rows(spark, schema, []) for name, schema in RAW.items()}
+    assert Warehouse(raw, Settings(as_of=AS_OF)).attribution_health.count() == 0

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,6 +74,17 @@ def newest_floor(spark: SparkSession, table: str, time: str, partition: str, day
     return newest.agg(F.date_sub(F.to_date(F.max(time)), days)).first()[0]
 
 
+@contextmanager
+def _session_setting(spark: SparkSession, key: str, value: str):
+    """An insert into a catalog table follows the session, not the writer's options."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def merge_into_table(batch: DataFrame, table: str, key: str, partition: str) -> None:
     """Upserts ``batch`` into a Parquet table partitioned by ``partition``.
 
@@ -102,12 +115,8 @@ def merge_into_table(batch: DataFrame, table: str, key: str, partition: str) ->
     merged = write_once(merged.hint("rebalance", partition))
 
     filled = {r[0] for r in merged.select(partition).distinct().collect()}
-    (
-        merged.hint("rebalance", partition)
-        .write.option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .insertInto(table)
-    )
+    with _session_setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        merged.hint("rebalance", partition).write.insertInto(table, overwrite=True)
     for value in set(values) - filled:
         literal = "null" if value is None else f"date '{value}'"
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition} = {literal})")
