@@ -108,6 +108,16 @@ def test_untouched_partitions_are_not_rewritten(spark, table):
     assert spark.sql(files.format(t=table)).collect() == before
 
 
+def test_keys_that_stay_need_no_search(spark, table):
+    loaded(spark, table)
+    batch = model(spark, tickets=[ticket(3, "2024-02-10T10:00:00", "closed"), ticket(9, None, "closed")])
+    merge_into_table(batch.ticket_fact, table, "ticket_id", "created_month", keys_stay=True)
+    assert {i: s for i, (s, _) in state(spark, table).items()} == {
+        **{1: "open", 2: "open", 3: "closed"},
+        9: "closed",
+    }
+
+
 def test_new_columns_are_synchronised(spark, table):
     loaded(spark, table)
     batch = model(spark, tickets=[ticket(3, "2024-02-10T10:00:00", "closed")]).ticket_fact

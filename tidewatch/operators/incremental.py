@@ -85,7 +85,9 @@ def _session_setting(spark: SparkSession, key: str, value: str):
         spark.conf.set(key, before)
 
 
-def merge_into_table(batch: DataFrame, table: str, key: str, partition: str) -> None:
+def merge_into_table(
+    batch: DataFrame, table: str, key: str, partition: str, keys_stay: bool = False
+) -> None:
     """Upserts ``batch`` into a Parquet table partitioned by ``partition``.
 
     Only the partitions that hold a key of the batch, before or after, are rewritten. The
@@ -93,6 +95,9 @@ def merge_into_table(batch: DataFrame, table: str, key: str, partition: str) ->
     and put in place from there: the job never reads what it overwrites, a lost executor
     costs a task, and merging the same batch again gives the same table.
 
+    To find the partitions a key was in before, the table's keys are compared with the
+    batch. ``keys_stay`` says that no key ever changes its partition, which saves that.
+
     A table format with row-level operations would take ``MERGE INTO`` here; built-in
     Parquet tables refuse it.
     """
@@ -102,10 +107,12 @@ def merge_into_table(batch: DataFrame, table: str, key: str, partition: str) ->
     if set(target.columns) != set(batch.columns):
         write_table(write_once(merge_by_key(target, batch, key)), table, partition)
         return
-    before = target.join(batch.select(key), key, "left_semi").select(partition)
-    touched = before.union(batch.select(partition)).distinct()
+    touched = batch.select(partition)
+    if not keys_stay:
+        before = target.join(batch.select(key), key, "left_semi").select(partition)
+        touched = touched.union(before)
     # bounded by the number of partitions of the table
-    values = [r[0] for r in touched.collect()]
+    values = [r[0] for r in touched.distinct().collect()]
     if not values:
         return
     hit = F.col(partition).isin([v for v in values if v is not None])

@@ -114,6 +114,7 @@ def spread_lookup(
     spread_by: str,
     salts: int,
     hot_keys: int = 1000,
+    counted_on: DataFrame | None = None,
 ) -> DataFrame:
     """Left join of ``facts`` to a lookup with one row per key, without a hot task.
 
@@ -122,13 +123,17 @@ def spread_lookup(
     copied. Every key above a ``1/hot_keys`` share is among them. Rows without a key match
     nothing and are spread likewise. The salt is a hash of ``spread_by``, hence the same
     when a lost task is run again.
+
+    Keys are counted on ``counted_on``: a frame with the same keys as ``facts`` that is
+    cheaper to read, such as the staged rows that ``facts`` was joined from.
     """
     on = list(on)
     if salts <= 1:
         return facts.join(lookup, on, "left")
     keyless = reduce(or_, (F.col(c).isNull() for c in on))
     hot = (
-        facts.filter(~keyless)
+        (facts if counted_on is None else counted_on)
+        .filter(~keyless)
         .groupBy(*on)
         .count()
         .orderBy(F.desc("count"), *on)

@@ -57,20 +57,24 @@ def attribute(df: DataFrame, rungs: Sequence[tuple[Column, str]], out: str) -> D
     return df.withColumn(out, F.coalesce(*(F.when(gate, F.col(c)) for gate, c in rungs)))
 
 
-def attribute_partners(requesters: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
-    """Adds the partner and how it was found.
+def attribute_partners(
+    requesters: DataFrame, labels: DataFrame, settings: Settings, tickets: DataFrame | None = None
+) -> DataFrame:
+    """Adds the partner and how it was found. ``tickets`` are the rows before requesters were
+    resolved, if at hand; frequent labels are then counted without that join.
 
     The method follows the requester type, not the value: an investor without a partner
     takes the label's partner and still counts as an e-mail match. Internal and unknown
     requesters have the label only.
     """
-    kind = F.col("requester_type")
+    kind, label = F.col("requester_type"), norm_key("partner_label")
     labelled = spread_lookup(
-        requesters.withColumn("label_norm", norm_key("partner_label")),
+        requesters.withColumn("label_norm", label),
         labels,
         ["label_norm"],
         spread_by="ticket_id",
         salts=settings.salts_for(requesters.sparkSession),
+        counted_on=None if tickets is None else tickets.select(label.alias("label_norm")),
     ).drop("label_norm")
     chained = attribute(
         labelled,

@@ -136,13 +136,17 @@ def _counts_near_closes(closes: DataFrame, tickets: DataFrame, settings: Setting
     )
 
 
-def close_pressure(closes: DataFrame, tickets: DataFrame, settings: Settings) -> DataFrame:
+def close_pressure(
+    closes: DataFrame, tickets: DataFrame, settings: Settings, calendar: DataFrame | None = None
+) -> DataFrame:
     """Tickets of the close's partner within the window around each close.
 
     Windows overlap: a ticket counts for every close it is near. The counts depend on
-    partner and date only and are looked up by them.
+    partner and date only and are looked up by them. ``calendar`` are the same closes
+    without partner names, if that saves their join.
     """
-    counts = _counts_near_closes(closes, tickets, settings).selectExpr(
+    calendar = closes if calendar is None else calendar
+    counts = _counts_near_closes(calendar, tickets, settings).selectExpr(
         *("partner_id", "scheduled_close_date"),
         "in_window as tickets_in_window",
         "before as tickets_before_close",
@@ -159,6 +163,7 @@ def close_pressure(closes: DataFrame, tickets: DataFrame, settings: Settings) ->
         ["partner_id", "scheduled_close_date"],
         spread_by="close_id",
         salts=settings.salts_for(closes.sparkSession),
+        counted_on=calendar,
     ).selectExpr(
         *described.columns,
         _zero("tickets_in_window"),
@@ -190,12 +195,15 @@ def _live_upcoming(closes: DataFrame) -> DataFrame:
     return closes.filter("is_upcoming and not is_stale_upcoming")
 
 
-def staffing_forecast(closes: DataFrame, tickets: DataFrame, settings: Settings) -> DataFrame:
+def staffing_forecast(
+    closes: DataFrame, tickets: DataFrame, settings: Settings, calendar: DataFrame | None = None
+) -> DataFrame:
     """Expected load of each live upcoming close, from its partner's completed closes.
 
     Without history the estimates and the low-sample warning are null.
     """
-    history = close_history(closes, tickets, settings)
+    calendar = closes if calendar is None else calendar
+    history = close_history(calendar, tickets, settings)
     day = F.col("scheduled_close_date")
     tickets_mean, urgent_mean = F.col("avg_tickets"), F.col("avg_high_urgent")
     return spread_lookup(
@@ -204,6 +212,7 @@ def staffing_forecast(closes: DataFrame, tickets: DataFrame, settings: Settings)
         ["partner_id"],
         spread_by="close_id",
         salts=settings.salts_for(closes.sparkSession),
+        counted_on=_live_upcoming(calendar),
     ).select(
         *("close_id", "fund_id", "fund_name", "close_number"),
         *("partner_id", "partner_name", "partner_type"),

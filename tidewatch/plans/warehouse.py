@@ -157,7 +157,7 @@ class Warehouse:
 
     @cached_property
     def resolved(self) -> DataFrame:
-        return attribute_partners(self.requesters, self.labels, self.settings)
+        return attribute_partners(self.requesters, self.labels, self.settings, self.tickets)
 
     # facts
 
@@ -193,11 +193,15 @@ class Warehouse:
 
     @cached_property
     def close_pressure(self) -> DataFrame:
-        return marts.close_pressure(self.dim_close, self._tickets(self.resolved), self.settings)
+        return marts.close_pressure(
+            self.dim_close, self._tickets(self.resolved), self.settings, self._calendar
+        )
 
     @cached_property
     def staffing_forecast(self) -> DataFrame:
-        return marts.staffing_forecast(self.dim_close, self._tickets(self.resolved), self.settings)
+        return marts.staffing_forecast(
+            self.dim_close, self._tickets(self.resolved), self.settings, self._calendar
+        )
 
     @cached_property
     def load_estimate(self) -> DataFrame:
