@@ -344,7 +344,8 @@ where entity_type not in ('furniture', 'household') group by all""",
 select partner_id, count(*) as n from k
 where partner_id is not null and partner_id not in (select partner_id from p) group by all""",
     "check_key_overlap": """
-select email from rich_i where email in (select rm_email from rich_m)""",
+select email, count(*) as n from rich_i where email in (select rm_email from rich_m)
+group by email""",
     "profile_tickets": " union all ".join(
         f"""
 select '{c}' as column_name, count(*) as row_count, count(*) - count({c}) as nulls,

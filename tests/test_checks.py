@@ -24,7 +24,7 @@ def test_nulls_never_fail_but_for_not_null(spark, child):
     orphans = sorted(map(tuple, checks.relationships(child, "v", parent, "p").collect()))
     assert orphans == [("b", 1), ("x", 3)]
     overlap = checks.key_overlap(child, "v", parent, "p")
-    assert [r.v for r in overlap.collect()] == ["a"]
+    assert [tuple(r) for r in overlap.collect()] == [("a", 1)]
 
 
 def test_report_agrees_with_the_single_checks(spark, child):

@@ -105,3 +105,23 @@ def test_views_may_replace_the_extracts(spark):
     """Raw extracts can be any DataFrame with the declared columns."""
     raw = {name: rows(spark, schema, []) for name, schema in RAW.items()}
     assert Warehouse(raw, Settings(as_of=AS_OF)).attribution_health.count() == 0
+
+
+def test_copies_go_to_the_folder_the_cluster_names(spark):
+    from tidewatch.sources import shared_folder, write_once
+
+    folder = shared_folder(spark)
+    assert folder == spark.conf.get("spark.checkpoint.dir")
+    copy = write_once(spark.range(5))
+    assert copy.count() == 5 and all(folder in f for f in copy.inputFiles())
+
+
+def test_a_cluster_without_a_shared_folder_is_refused(monkeypatch):
+    from types import SimpleNamespace
+
+    from tidewatch.sources import shared_folder
+
+    context = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=context)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(session)

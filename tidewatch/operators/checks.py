@@ -39,10 +39,12 @@ def relationships(df: DataFrame, column: str, parent: DataFrame, parent_column:
 
 
 def key_overlap(a: DataFrame, a_column: str, b: DataFrame, b_column: str) -> DataFrame:
-    """Values of ``a_column`` that ``b_column`` holds too, once per row of ``a``."""
-    return a.select(a_column).join(
-        b.select(F.col(b_column).alias(a_column)).distinct(), a_column, "left_semi"
-    )
+    """Values of ``a_column`` that ``b_column`` holds too, with their number of rows in ``a``.
+
+    As for ``relationships``, rows are reduced to values before the join.
+    """
+    values = a.filter(F.col(a_column).isNotNull()).groupBy(a_column).agg(F.count("*").alias("n"))
+    return values.join(b.select(F.col(b_column).alias(a_column)), a_column, "left_semi")
 
 
 @dataclass(frozen=True)

@@ -10,6 +10,8 @@ CONF = {
     "spark.sql.adaptive.enabled": "true",
     # joins whose inputs come straight from a shuffle are split where a key is hot
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # and hashed instead of sorted where every partition of one side is seen to be small
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     # refreshes replace only the partitions they write
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # a build runs a few hundred distinct stages; keep their compiled code
