@@ -93,7 +93,9 @@ def merge_into_table(
     Only the partitions that hold a key of the batch, before or after, are rewritten. The
     batch and the new content of those partitions are written to the shared folder first
     and put in place from there: the job never reads what it overwrites, a lost executor
-    costs a task, and merging the same batch again gives the same table.
+    costs a task, and merging the same batch again gives the same table. Should the driver
+    die in the moment the partitions are swapped, the copy (its path is logged) holds their
+    new content and is inserted again.
 
     To find the partitions a key was in before, the table's keys are compared with the
     batch. ``keys_stay`` says that no key ever changes its partition, which saves that.

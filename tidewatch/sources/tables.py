@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import logging
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+logger = logging.getLogger(__name__)
+
 
 def write_table(
     df: DataFrame, name: str, partition_by: str | None = None, fmt: str = "parquet"
@@ -53,4 +56,5 @@ def write_once(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/once-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    logger.info("copy written to %s", path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
