@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.llm.exact_dedup import copy_groups
+from tidewatch.llm.secret_scan import secret_report
 from tidewatch.llm.shared import read
 from tidewatch.llm.sharding import shard
+from tidewatch.llm.simhash import near_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,7 +23,17 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(read(spark, sf_dir, "documents"), 16)
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_report(read(spark, sf_dir, "documents"), shingle=3, radius=2)
+
+
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_sharding": op2_sharding,
+    "op7_simhash": op7_simhash,
+    "op10_secret_scan": op10_secret_scan,
 }
