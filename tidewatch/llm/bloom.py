@@ -61,3 +61,12 @@ def passes(rows: DataFrame, key: str, bitmaps: DataFrame, bits: int, flag: str)
         is_set = F.getbit(byte.cast("int"), bit.bitwiseAND(F.lit(7))) == 1
         both = both & F.coalesce(is_set, F.lit(False))
     return rows.select(*columns, both.alias(flag))
+
+
+def as_bytes(bitmaps: DataFrame, bits: int) -> bytes:
+    """The filter as one run of bits, for tasks that test it themselves; ``bits`` / 8 bytes."""
+    whole = bytearray(bits // 8)
+    width = BITMAP_BITS // 8
+    for row in bitmaps.toLocalIterator():
+        whole[row["bucket"] * width : (row["bucket"] + 1) * width] = row["bitmap"]
+    return bytes(whole)

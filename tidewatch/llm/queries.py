@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewatch.llm.decontaminate import contamination
 from tidewatch.llm.exact_dedup import copy_groups
 from tidewatch.llm.secret_scan import secret_report
 from tidewatch.llm.shared import read
 from tidewatch.llm.sharding import shard
 from tidewatch.llm.simhash import near_report
+from tidewatch.llm.substring_dedup import deduplicated
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,10 +25,20 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(read(spark, sf_dir, "documents"), 16)
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deduplicated(read(spark, sf_dir, "documents"), length=13)
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_report(read(spark, sf_dir, "documents"), shingle=3, radius=2)
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), window=10
+    )
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(read(spark, sf_dir, "documents"))
 
@@ -34,6 +46,8 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_sharding": op2_sharding,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_simhash": op7_simhash,
+    "op9_decontamination": op9_decontamination,
     "op10_secret_scan": op10_secret_scan,
 }

@@ -14,17 +14,33 @@ def row_key(id: str = "doc_id", text: str = "text") -> Column:
     return F.xxhash64(F.col(id), text_of(text))
 
 
+def excluding(rows: DataFrame, gone: DataFrame, key: str = "key") -> DataFrame:
+    """``rows`` without those whose ``key`` is in ``gone``; only rows its Bloom filter holds shuffle.
+
+    ``gone`` is a stored table with the column ``key``.
+    """
+    columns, flag = rows.columns, fresh(rows, "__listed")
+    bits = filter_bits(gone.count())
+    rows = passes(rows, key, member_filter(gone, key, bits), bits, flag)
+    moving = rows.filter(flag).join(gone.select(key).distinct(), key, "left_anti")
+    return rows.filter(~F.col(flag)).select(*columns).unionByName(moving.select(*columns))
+
+
 def without(
-    docs: DataFrame, removed: DataFrame, repeated: DataFrame, id: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    removed: DataFrame,
+    repeated: DataFrame | None = None,
+    id: str = "doc_id",
+    text: str = "text",
 ) -> DataFrame:
     """``docs`` without the rows whose key is in ``removed``, and each in ``repeated`` once.
 
-    Both are stored tables with one column, key. Their Bloom filter is broadcast (64 MB at most,
+    Both have one column, key, and are stored or cheap. Their Bloom filter is broadcast (64 MB at most,
     see bloom.py); rows that it does not hold stay where they are, only the others shuffle.
     """
     columns = docs.columns
     key, flag = fresh(docs, "__row_key"), fresh(docs, "__listed")
-    listed = removed.select("key").unionByName(repeated.select("key"))
+    listed = removed if repeated is None else removed.unionByName(repeated)
     bits = filter_bits(listed.count())
     rows = passes(
         docs.withColumn(key, row_key(id, text)), key, member_filter(listed, "key", bits), bits, flag

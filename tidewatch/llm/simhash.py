@@ -234,4 +234,4 @@ def near_dedup(
     rows = write_once(near_groups(docs, shingle, radius, id, text).select("key", "first.key").toDF("key", "keep"))
     removed = rows.filter("key <> keep").select("key")
     repeated = rows.groupBy("key").count().filter("count > 1").select("key")
-    return without(docs, removed, repeated, id, text)
+    return without(docs, removed, repeated, id=id, text=text)
