@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewatch.llm.bpe import round_trip
 from tidewatch.llm.decontaminate import contamination
 from tidewatch.llm.exact_dedup import copy_groups
 from tidewatch.llm.secret_scan import secret_report
@@ -13,6 +15,11 @@ from tidewatch.llm.shared import read
 from tidewatch.llm.sharding import shard
 from tidewatch.llm.simhash import near_report
 from tidewatch.llm.substring_dedup import deduplicated
+from tidewatch.llm.token_files import read_report, write_shards
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+VOCABULARY = 50_257
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +32,15 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(read(spark, sf_dir, "documents"), 16)
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = write_shards(read(spark, sf_dir, "documents"), TOKENIZER, VOCABULARY)
+    return read_report(spark, shards)
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(read(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicated(read(spark, sf_dir, "documents"), length=13)
 
@@ -46,6 +62,8 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_sharding": op2_sharding,
+    "op3_token_files": op3_token_files,
+    "op4_bpe": op4_bpe,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_simhash": op7_simhash,
     "op9_decontamination": op9_decontamination,
