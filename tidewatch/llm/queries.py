@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidewatch.llm.bpe import round_trip
 from tidewatch.llm.decontaminate import contamination
 from tidewatch.llm.exact_dedup import copy_groups
+from tidewatch.llm.html_extract import extracted
 from tidewatch.llm.secret_scan import secret_report
 from tidewatch.llm.shared import read
 from tidewatch.llm.sharding import shard
@@ -41,6 +42,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(read(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracted(read(spark, sf_dir, "pages"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicated(read(spark, sf_dir, "documents"), length=13)
 
@@ -64,6 +69,7 @@ QUERIES: dict[str, Query] = {
     "op2_sharding": op2_sharding,
     "op3_token_files": op3_token_files,
     "op4_bpe": op4_bpe,
+    "op5_html_extraction": op5_html_extraction,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_simhash": op7_simhash,
     "op9_decontamination": op9_decontamination,
