@@ -204,25 +204,37 @@ def decoded(rows: DataFrame, path: str, pattern: str, id: str = "doc_id") -> Dat
 
 
 def round_trip(
-    docs: DataFrame, path: str, pattern: str, id: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    path: str,
+    pattern: str,
+    id: str = "doc_id",
+    text: str = "text",
+    with_ids: bool = False,
 ) -> DataFrame:
-    """Per document: id, n_tokens, ids_sha256, decoded_sha256 after encoding and decoding."""
+    """Per document: id, n_tokens, ids_sha256, decoded_sha256 after encoding and decoding.
+
+    ``with_ids`` adds the ids themselves as an array of integers.
+    """
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path, pattern)
         for batch in batches:
-            counts, ids_sha, text_sha = [], [], []
+            counts, ids_sha, text_sha, arrays = [], [], [], []
             for value in batch["text"]:
                 packed = bpe.encode_packed(value.as_py() or "")
-                ids = np.frombuffer(packed, "<u4").tolist()
-                counts.append(len(ids))
+                numbers = np.frombuffer(packed, "<u4")
+                counts.append(len(numbers))
                 ids_sha.append(hashlib.sha256(packed).hexdigest())
-                text_sha.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch["id"], pa.array(counts, pa.int64()), pa.array(ids_sha), pa.array(text_sha)],
-                names=["id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+                text_sha.append(hashlib.sha256(bpe.decode(numbers.tolist())).hexdigest())
+                if with_ids:
+                    arrays.append(numbers.astype(np.int32))
+            columns = [batch["id"], pa.array(counts, pa.int64()), pa.array(ids_sha), pa.array(text_sha)]
+            if with_ids:
+                columns.append(pa.array(arrays, pa.list_(pa.int32())))
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     rows = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     schema = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    schema += ", ids array<int>" * with_ids
+    names = [column.split()[0] for column in schema.split(", ")]
     return rows.mapInArrow(digest, schema).withColumnRenamed("id", id)

@@ -11,6 +11,7 @@ from tidewatch.llm.bpe import round_trip
 from tidewatch.llm.decontaminate import contamination
 from tidewatch.llm.exact_dedup import copy_groups
 from tidewatch.llm.html_extract import extracted
+from tidewatch.llm.quality import quality_report
 from tidewatch.llm.secret_scan import secret_report
 from tidewatch.llm.shared import read
 from tidewatch.llm.sharding import shard
@@ -54,6 +55,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_report(read(spark, sf_dir, "documents"), shingle=3, radius=2)
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), 0.3)
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(
         read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), window=10
@@ -72,6 +77,7 @@ QUERIES: dict[str, Query] = {
     "op5_html_extraction": op5_html_extraction,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_simhash": op7_simhash,
+    "op8_quality": op8_quality,
     "op9_decontamination": op9_decontamination,
     "op10_secret_scan": op10_secret_scan,
 }
