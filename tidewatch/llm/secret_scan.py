@@ -57,10 +57,11 @@ def scan(docs: DataFrame, id: str, text: str) -> DataFrame:
     )
     rows = rows.select("*", *(_matches(p).alias(f"found{k}") for k, p in enumerate(patterns)))
     rows = rows.select("*", *(_gaps(p, f"found{k}").alias(f"gaps{k}") for k, p in enumerate(patterns)))
+    # zipped, so that the gaps are computed once per text and not once per match
     entries = [
         F.expr(
-            f"transform(found{k}, (m, i) -> "
-            f"named_struct('kind', {k}, 'n', i, 'gap', gaps{k}[i], 'match', m))"
+            f"if(size(found{k}) = 0, array(), transform(arrays_zip(gaps{k}, found{k}), (z, i) -> "
+            f"named_struct('kind', {k}, 'n', i, 'gap', z.gaps{k}, 'match', z.found{k})))"
         )
         for k in range(len(patterns))
     ]
@@ -73,7 +74,7 @@ def placed(scanned: DataFrame) -> DataFrame:
     ``covered`` says whether a token shares a character with a rule's match. Sorting within one
     document does both, so very many matches in one text cost no more than their sort.
     """
-    rows = scanned.select("row_no", F.inline("found"))
+    rows = scanned.select("row_no", F.inline("found")).filter("match is not null")
     rows = rows.withColumn("length", F.length("match"))
     rows = rows.withColumn(
         "end", F.expr("sum(gap + length) over (partition by row_no, kind order by n)")
