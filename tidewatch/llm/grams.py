@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 #: distinct words whose hash is remembered by a Python worker
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 18
 _FACTOR = 0x9E3779B97F4A7C15
 _ALL = (1 << 64) - 1
 

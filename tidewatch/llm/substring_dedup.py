@@ -72,8 +72,8 @@ def summaries(rows: DataFrame, length: int) -> DataFrame:
         levels = Levels(length)
         for batch in batches:
             counts, shas, wholes, shorts = [], [], [], []
-            for text in batch["text"].to_pylist():
-                words = words_of(text)
+            for value in batch["text"]:
+                words = words_of(value.as_py())
                 joined = b" ".join(words)
                 grams, places = levels.least(word_hashes(words))
                 counts.append(len(words))
@@ -103,8 +103,8 @@ def candidates(rows: DataFrame, length: int, bitmap: bytes, bits: int) -> DataFr
         levels, filter_ = Levels(length), np.frombuffer(bitmap, np.uint8)
         for batch in batches:
             places, windows = [], []
-            for text in batch["text"].to_pylist():
-                hashes = word_hashes(words_of(text))
+            for value in batch["text"]:
+                hashes = word_hashes(words_of(value.as_py()))
                 grams, least = levels.least(hashes)
                 at = np.flatnonzero(in_filter(grams, filter_, bits)[least])
                 places.append(at.astype(np.int32))
@@ -138,9 +138,8 @@ def cut(rows: DataFrame, length: int) -> DataFrame:
     def without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, shas = [], []
-            starts = batch["starts"].to_pylist()
-            for text, at in zip(batch["text"].to_pylist(), starts, strict=True):
-                kept = kept_words(text, at, length)
+            for value, at in zip(batch["text"], batch["starts"], strict=True):
+                kept = kept_words(value.as_py(), at.as_py(), length)
                 counts.append(len(kept))
                 shas.append(hashlib.sha256(b" ".join(kept)).digest())
             yield pa.RecordBatch.from_arrays(
