@@ -102,7 +102,7 @@ from {orders} left join (
                 chr(max(ascii(l_returnflag)))) as tags
   from {lineitem} group by l_orderkey) as lines on o_orderkey = l_orderkey
 """,
-    # a part that no first line names is a close without a date
+    # a part that no first line names is a close without a date, half of them completed
     "closes": """
 select concat('K', cast(p_partkey as varchar(20))) as close_id,
        concat('F', cast(p_partkey % 50 as varchar(20))) as fund_id,
@@ -112,7 +112,9 @@ select concat('K', cast(p_partkey as varchar(20))) as close_id,
        p_size as close_number,
        cast(first_ship as date) as scheduled_close_date,
        case when p_type = 'PROMO' then 'Cancelled'
-            when first_ship < date '2000-01-01' then 'completed ' else 'UPCOMING' end as close_status,
+            when first_ship < date '2000-01-01' then 'completed '
+            when first_ship is null and p_partkey % 2 = 0 then 'completed '
+            else 'UPCOMING' end as close_status,
        cast(round(p_retailprice, 0) as bigint) as total_committed_aum
 from {part} left join (
   select l_partkey, max(case when l_linenumber = 1 then l_shipdate end) as first_ship

@@ -5,8 +5,6 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidewatch.functions import (
-    blank_to_null,
-    count_where,
     hours_between,
     month_start,
     norm_key,
@@ -28,11 +26,6 @@ def test_norm_key_trims_spaces_only(spark):
     assert one(spark, norm_key("a"), a=("\tBob ", "string")) == "\tbob"
 
 
-@pytest.mark.parametrize("text, kept", [(" a ", "a"), ("   ", None), ("", None), (None, None)])
-def test_blank_to_null(spark, text, kept):
-    assert one(spark, blank_to_null("a"), a=(text, "string")) == kept
-
-
 def test_weeks_start_on_monday(spark):
     last = at("2024-06-02T23:59:59.999999")
     assert one(spark, week_start("t"), t=(last, "timestamp_ntz")) == day("2024-05-27")
@@ -68,12 +61,6 @@ def test_pct_of_nothing_is_null(spark):
     assert one(spark, pct("n", "t"), n=(1, "bigint"), t=(3, "bigint")) == 33.33
 
 
-def test_count_where(spark):
-    df = spark.createDataFrame([(1, "a"), (2, None), (3, "b"), (None, "c")], "n int, s string")
-    got = df.agg(count_where(F.col("n") > 1), count_where(F.col("n") > 1, F.col("s"))).first()
-    assert tuple(got) == (2, 1)
-
-
 @pytest.mark.parametrize(
     "text, tags",
     [(None, []), ("", []), (" , ", []), ("a, b,,a", ["a", "b", "a"]), (" X|y ", ["x|y"])],

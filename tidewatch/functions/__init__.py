@@ -1,6 +1,4 @@
 from tidewatch.functions.expr import (
-    blank_to_null,
-    count_where,
     hours_between,
     month_start,
     norm_key,
@@ -11,8 +9,6 @@ from tidewatch.functions.expr import (
 )
 
 __all__ = [
-    "blank_to_null",
-    "count_where",
     "hours_between",
     "month_start",
     "norm_key",

@@ -17,10 +17,6 @@ def norm_key(c: Column | str) -> Column:
     return F.lower(F.trim(_col(c)))
 
 
-def blank_to_null(c: Column | str) -> Column:
-    return F.nullif(F.trim(_col(c)), F.lit(""))
-
-
 def week_start(c: Column | str) -> Column:
     """Monday of the week, as DATE."""
     return F.trunc(F.to_date(_col(c)), "week")
@@ -50,11 +46,6 @@ def pct(part: Column | str, total: Column | str, scale: int = 2) -> Column:
     )
 
 
-def count_where(predicate: Column, counted: Column | None = None) -> Column:
-    """Rows (or non-null values of ``counted``) for which the predicate is true."""
-    return F.count(F.when(predicate, F.lit(1) if counted is None else counted))
-
-
 def split_rows(df: DataFrame, source: str, delimiter: str, out: str) -> DataFrame:
     """One row per normalised, non-empty element of a delimited text.
 

@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.settings import quoted
+
 
 def unique(df: DataFrame, column: str) -> DataFrame:
     """Non-null values that occur more than once."""
@@ -83,7 +85,6 @@ class _Check:
     table: str
     column: str
     severity: str
-    probe: str
     accepted: tuple[str, ...] = ()
     parent: tuple[str, str] | None = None
     name: str | None = None
@@ -92,81 +93,111 @@ class _Check:
 def _checks(rules: Mapping[str, TableRules], overlaps: Sequence[Overlap]) -> list[_Check]:
     found = []
     for table, r in rules.items():
-        found.append(_Check("unique", table, r.key, "error", f"{table}.{r.key}"))
+        found.append(_Check("unique", table, r.key, "error"))
         for c in (r.key, *r.not_null):
-            found.append(_Check("not_null", table, c, "error", f"{table}.{c}"))
+            found.append(_Check("not_null", table, c, "error"))
         for c, values in r.accepted.items():
             severity = "error" if c in r.strict else "warn"
-            probe = f"{table}.{c} accepted"
-            found.append(_Check("accepted_values", table, c, severity, probe, accepted=values))
+            found.append(_Check("accepted_values", table, c, severity, accepted=values))
         for ref in r.references:
-            probe = f"{table}.{ref.column} in {ref.parent}"
             parent = (ref.parent, ref.parent_column)
-            found.append(
-                _Check("relationships", table, ref.column, "warn", probe, parent=parent)
-            )
+            found.append(_Check("relationships", table, ref.column, "warn", parent=parent))
     for o in overlaps:
-        probe, parent = f"{o.name}", (o.other_table, o.other_column)
-        found.append(
-            _Check("overlap", o.table, o.column, "error", probe, parent=parent, name=o.name)
-        )
+        parent = (o.other_table, o.other_column)
+        found.append(_Check("overlap", o.table, o.column, "error", parent=parent, name=o.name))
     return found
 
 
-def _offer(probe: str, column: str, held: int, known: int) -> str:
-    return f"'{probe}', cast({column} as string), {held}, {known}"
+def _row_failures(tables: Mapping[str, DataFrame], checks: dict[int, _Check]) -> list[DataFrame]:
+    """(probe, measure, failures) of null checks, which each row answers: one pass per table."""
+    by_table: dict[str, dict[int, str]] = {}
+    for n, c in checks.items():
+        by_table.setdefault(c.table, {})[n] = f"{c.column} is null"
+    found = []
+    for name, failing in by_table.items():
+        counts = (F.expr(f"count_if({f})").alias(f"c{n}") for n, f in failing.items())
+        entries = ", ".join(f"{n}, 'rows', c{n}" for n in failing)
+        answers = f"stack({len(failing)}, {entries}) as (probe, measure, failures)"
+        found.append(tables[name].agg(*counts).selectExpr(answers))
+    return found
 
 
-def report(
-    tables: Mapping[str, DataFrame],
-    rules: Mapping[str, TableRules],
-    overlaps: Sequence[Overlap] = (),
-) -> DataFrame:
-    """One row per check: failures as the number of failing rows or values, and the verdict.
+def _value_failures(tables: Mapping[str, DataFrame], checks: dict[int, _Check]) -> DataFrame:
+    """(probe, measure, failures) of checks that compare values across rows, by one census.
 
-    All checks are answered by one census of values: each table is read once and offers the
-    values of its checked columns, as held by the column or as known to it (parents and
-    accepted values); they are counted per check and value, combined before the shuffle.
-    A value that a third of the rows hold is one row of a task, and no join is needed.
+    Each table offers the values of its checked columns once, as held by the column or as known
+    to it (its parent's); they are counted per check and value, combined before the shuffle. A
+    value that a third of the rows hold is one row of a task, and no join is needed. The key's
+    nulls are among the values that its uniqueness needs anyway; of a column with accepted values
+    only the others are offered, so that little is left to shuffle.
     """
-    checks = _checks(rules, overlaps)
     offers: dict[str, list[str]] = {}
-    for c in {c.probe: c for c in checks}.values():
-        offers.setdefault(c.table, []).append(_offer(c.probe, c.column, 1, 0))
+    for n, c in checks.items():
+        value = f"cast({c.column} as string)"
+        if c.accepted:
+            value = f"if({c.column} in ({quoted(*c.accepted)}), null, {value})"
+        offers.setdefault(c.table, []).append(f"{n}, {value}, 1, 0")
         if c.parent:
             table, column = c.parent
-            offers.setdefault(table, []).append(_offer(c.probe, column, 0, 1))
+            offers.setdefault(table, []).append(f"{n}, cast({column} as string), 0, 1")
     scans = [
         tables[name].selectExpr(f"stack({len(o)}, {', '.join(o)}) as (probe, value, held, known)")
         for name, o in offers.items()
     ]
-    spark = scans[0].sparkSession
-    listed = [(c.probe, v, 0, 1) for c in checks for v in c.accepted]
-    if listed:
-        scans.append(
-            spark.createDataFrame(listed, "probe string, value string, held int, known int")
-        )
-    held, known = F.sum("held").alias("held"), F.max("known").alias("known")
-    census = reduce(DataFrame.unionByName, scans).groupBy("probe", "value").agg(held, known)
+    census = (
+        reduce(DataFrame.unionByName, scans)
+        .groupBy("probe", "value")
+        .agg(F.sum("held").alias("held"), F.max("known").alias("known"))
+    )
     totals = census.groupBy("probe").agg(
-        F.expr("count_if(value is not null and held > 1) as unique"),
-        F.expr("sum(held) filter (where value is null) as not_null"),
-        F.expr("count_if(value is not null and held > 0 and known = 0) as accepted_values"),
-        F.expr("sum(held) filter (where value is not null and known = 0) as relationships"),
-        F.expr("sum(held) filter (where value is not null and known = 1) as overlap"),
+        F.expr("count_if(value is not null and held > 1) as repeated"),
+        F.expr("count_if(value is not null) as others"),
+        F.expr("sum(if(value is null, held, 0)) as nulls"),
+        F.expr("sum(if(value is not null and known = 0, held, 0)) as orphans"),
+        F.expr("sum(if(value is not null and known = 1, held, 0)) as shared"),
     )
-    lines = spark.createDataFrame(
-        [(c.probe, c.kind, c.name or c.kind, c.table, c.column, c.severity) for c in checks],
-        "probe string, kind string, check_name string, table_name string, "
+    measures = ("repeated", "others", "nulls", "orphans", "shared")
+    entries = ", ".join(f"'{m}', {m}" for m in measures)
+    return totals.selectExpr("probe", f"stack({len(measures)}, {entries}) as (measure, failures)")
+
+
+def report(
+    tables: Mapping[str, DataFrame],
+    rules: Mapping[str, TableRules],
+    overlaps: Sequence[Overlap] = (),
+) -> DataFrame:
+    """One row per check: failures as the number of failing rows or values, and the verdict.
+
+    Nulls are counted in one pass per table, without a shuffle of values; uniqueness, accepted
+    values and references are answered by one census of values.
+    """
+    checks = dict(enumerate(_checks(rules, overlaps)))
+    unique = {(c.table, c.column): n for n, c in checks.items() if c.kind == "unique"}
+    measures = {"unique": "repeated", "accepted_values": "others"}
+    measures |= {"relationships": "orphans", "overlap": "shared"}
+    by_row, by_value, lines = {}, {}, []
+    for n, c in checks.items():
+        probe, measure = n, measures.get(c.kind, "rows")
+        if c.kind == "not_null" and (c.table, c.column) in unique:
+            probe, measure = unique[c.table, c.column], "nulls"
+        elif measure == "rows":
+            by_row[n] = c
+        else:
+            by_value[n] = c
+        lines.append((probe, measure, c.name or c.kind, c.table, c.column, c.severity))
+    found = [*_row_failures(tables, by_row), _value_failures(tables, by_value)]
+    failures = reduce(DataFrame.unionByName, found)
+    lines = failures.sparkSession.createDataFrame(
+        lines,
+        "probe int, measure string, check_name string, table_name string, "
         "column_name string, severity string",
     )
-    kinds = ("unique", "not_null", "accepted_values", "relationships", "overlap")
-    failures = F.coalesce(*(F.when(F.col("kind") == k, F.col(k)) for k in kinds), F.lit(0))
-    return lines.join(totals, "probe", "left").select(
+    count = F.coalesce("failures", F.lit(0))
+    return lines.join(failures, ["probe", "measure"], "left").select(
         "check_name",
         "table_name",
         "column_name",
         "severity",
-        failures.alias("failures"),
-        (failures == 0).alias("passed"),
+        count.alias("failures"),
+        (count == 0).alias("passed"),
     )

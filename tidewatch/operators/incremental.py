@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.sources.tables import write_once, write_table
+from tidewatch.sources.tables import Copies, write_table
 
 
 def lookback_filter(
@@ -93,21 +93,33 @@ def merge_into_table(
     Only the partitions that hold a key of the batch, before or after, are rewritten. The
     batch and the new content of those partitions are written to the shared folder first
     and put in place from there: the job never reads what it overwrites, a lost executor
-    costs a task, and merging the same batch again gives the same table. Should the driver
-    die in the moment the partitions are swapped, the copy (its path is logged) holds their
-    new content and is inserted again.
+    costs a task, and merging the same batch again gives the same table. The copies are removed
+    when the merge ends. Should the driver die in the moment the partitions are swapped, the
+    copy (its path is logged) holds their new content and is inserted again.
 
     To find the partitions a key was in before, the table's keys are compared with the
     batch. ``keys_stay`` says that no key ever changes its partition, which saves that.
 
     A table format with row-level operations would take ``MERGE INTO`` here; built-in
-    Parquet tables refuse it.
+    Parquet tables refuse it. A column that is new, gone or of another type in the batch is
+    synchronised: the table is rewritten with the columns of the batch.
     """
+    with Copies(batch.sparkSession) as keep:
+        _merge(batch, table, key, partition, keys_stay, keep)
+
+
+def _columns(df: DataFrame) -> set[tuple[str, str]]:
+    return {(f.name, f.dataType.simpleString()) for f in df.schema.fields}
+
+
+def _merge(
+    batch: DataFrame, table: str, key: str, partition: str, keys_stay: bool, keep: Copies
+) -> None:
     spark = batch.sparkSession
-    batch = write_once(batch)
+    batch = keep(batch)
     target = spark.table(table)
-    if set(target.columns) != set(batch.columns):
-        write_table(write_once(merge_by_key(target, batch, key)), table, partition)
+    if _columns(target) != _columns(batch):
+        write_table(keep(merge_by_key(target, batch, key)), table, partition)
         return
     touched = batch.select(partition)
     if not keys_stay:
@@ -121,7 +133,7 @@ def merge_into_table(
     if None in values:
         hit = F.coalesce(hit, F.lit(False)) | F.col(partition).isNull()
     merged = merge_by_key(target.filter(hit), batch, key).select(*target.columns)
-    merged = write_once(merged.hint("rebalance", partition))
+    merged = keep(merged.hint("rebalance", partition))
 
     filled = {r[0] for r in merged.select(partition).distinct().collect()}
     with _session_setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):

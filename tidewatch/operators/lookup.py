@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -107,45 +107,74 @@ def identity_lookup(investors: DataFrame, managers: DataFrame) -> DataFrame:
     )
 
 
+def hot_keys(rows: DataFrame, **keys: Sequence[Column]) -> DataFrame:
+    """(name, hash, salts): keys of ``rows`` with more rows than a task's fair share.
+
+    ``keys`` gives each kind of key a name and its columns; all kinds are counted in one pass,
+    combined before the shuffle. As a hot key holds more than one part in as many as there are
+    shuffle tasks, there are fewer hot keys of a kind than tasks. ``salts`` is the number of tasks
+    its rows need for none to get more than a fair share.
+    """
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    offered = [
+        F.struct(
+            F.lit(name).alias("name"),
+            F.when(reduce(and_, (c.isNotNull() for c in columns)), F.xxhash64(*columns)).alias("hash"),
+        )
+        for name, columns in keys.items()
+    ]
+    counts = (
+        rows.select(F.inline(F.array(*offered)))
+        .filter("hash is not null")
+        .groupBy("name", "hash")
+        .agg(F.count("*").alias("rows"))
+    )
+    totals = counts.groupBy("name").agg(F.sum("rows").alias("of_all"))  # a row per kind
+    return (
+        counts.join(F.broadcast(totals), "name")
+        .filter(f"rows * {tasks} > of_all")
+        .selectExpr("name", "hash", f"int(ceil(rows * {tasks} / of_all)) as salts")
+    )
+
+
 def spread_lookup(
     facts: DataFrame,
     lookup: DataFrame,
     on: Sequence[str],
     spread_by: str,
-    salts: int,
-    hot_keys: int = 1000,
-    counted_on: DataFrame | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Left join of ``facts`` to a lookup with one row per key, without a hot task.
 
-    The most frequent keys of ``facts`` (``hot_keys`` rows at most, so safe to broadcast)
-    are salted: their fact rows spread over ``salts`` tasks and only their lookup rows are
-    copied. Every key above a ``1/hot_keys`` share is among them. Rows without a key match
-    nothing and are spread likewise. The salt is a hash of ``spread_by``, hence the same
-    when a lost task is run again.
+    Rows of a hot key are spread over as many tasks as its share needs, and only its lookup row is
+    copied, once per task. Rows without a key match nothing and are spread over all tasks. The
+    salt is a hash of ``spread_by``, hence the same when a lost task is run again.
 
-    Keys are counted on ``counted_on``: a frame with the same keys as ``facts`` that is
-    cheaper to read, such as the staged rows that ``facts`` was joined from.
+    ``hot`` (hash, salts) are the hot keys of ``facts`` as ``hot_keys`` finds them, if they were
+    counted elsewhere, such as on the staged rows that ``facts`` was joined from. There are fewer
+    than shuffle tasks, which bounds what is broadcast.
     """
     on = list(on)
-    if salts <= 1:
-        return facts.join(lookup, on, "left")
+    if hot is None:
+        hot = hot_keys(facts, key=[F.col(c) for c in on])
+    hot = F.broadcast(hot.select(F.col("hash").alias("_hash"), F.col("salts").alias("_salts")))
     keyless = reduce(or_, (F.col(c).isNull() for c in on))
-    hot = (
-        (facts if counted_on is None else counted_on)
-        .filter(~keyless)
-        .groupBy(*on)
-        .count()
-        .orderBy(F.desc("count"), *on)
-        .limit(hot_keys)
-        .select(*on, F.lit(True).alias("_hot"))
-    )
-    salt = F.pmod(F.xxhash64(F.col(spread_by)), F.lit(salts)).cast("int")
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
-    left = facts.join(F.broadcast(hot), on, "left").withColumn(
-        "_salt", F.when(keyless | F.col("_hot"), salt).otherwise(0)
+    spread = F.xxhash64(F.col(spread_by))
+    salt = F.when(keyless, spread).otherwise(
+        F.coalesce(F.pmod(spread, F.col("_salts")), F.lit(0)).cast("long")
     )
-    right = lookup.join(F.broadcast(hot), on, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), every_salt).otherwise(F.array(F.lit(0))))
+    key = F.xxhash64(*on)
+    left = facts.withColumn("_key", key).join(hot, F.col("_key") == F.col("_hash"), "left")
+    right = lookup.withColumn("_key", key).join(hot, F.col("_key") == F.col("_hash"), "left")
+    every_salt = F.sequence(F.lit(0).cast("long"), F.coalesce("_salts", F.lit(1)).cast("long") - 1)
+    helpers = ("_key", "_hash", "_salts")
+    return (
+        left.withColumn("_salt", salt)
+        .drop(*helpers)
+        .join(
+            right.withColumn("_salt", F.explode(every_salt)).drop(*helpers),
+            [*on, "_salt"],
+            "left",
+        )
+        .drop("_salt")
     )
-    return left.drop("_hot").join(right.drop("_hot"), [*on, "_salt"], "left").drop("_salt")

@@ -2,31 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from math import isqrt
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def exact_median(
-    counted: DataFrame, group: str, value: str, weight: str, out: str, slot: float = 1.0
-) -> DataFrame:
+def _slot(value: str, bounds: Column, slots: int) -> Column:
+    """How many of the sorted ``bounds`` lie below the value, in two steps of sqrt(slots)."""
+    step = isqrt(slots) + 1
+    v = F.col(value)
+    marks = F.transform(F.sequence(F.lit(1), F.lit(slots // step)), lambda j: F.get(bounds, j * step - 1))
+    whole = F.size(F.filter(marks, lambda b: b < v))
+    part = F.slice(bounds, whole * step + 1, F.lit(step))
+    return whole * step + F.size(F.filter(part, lambda b: b < v))
+
+
+def exact_median(counted: DataFrame, group: str, value: str, weight: str, out: str) -> DataFrame:
     """Median of the non-null values of each group; the mean of the middle two if even.
 
-    ``counted`` has one row per group and distinct value with the number of its occurrences.
-    It is read twice and should be stored or cheap to derive.
+    ``counted`` has one row per group and distinct value with the number of its occurrences. It is
+    read several times; if it comes from an aggregate, Spark reuses that one's shuffle.
 
-    ``F.median`` keeps all distinct values of a group in the memory of one task. Here the
-    slot (a value range of width ``slot``) that holds the middle rank is found from slot
-    totals, and only the values of that slot are put in order. A hot group is spread over
-    as many tasks as it has slots.
+    ``F.median`` keeps all distinct values of a group in the memory of one task. Here the range
+    of values is cut into as many slots as there are shuffle tasks, at approximate quantiles of
+    the rows of all groups, so that a slot holds about a task's share of rows whatever group they
+    are from. The slot with the middle rank follows from slot totals, and only the values of that
+    slot are put in order.
     """
+    slots = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     values = counted.filter(F.col(value).isNotNull()).select(
-        group,
-        F.col(value).alias("_v"),
-        F.col(weight).alias("_n"),
-        F.floor(F.col(value) / F.lit(float(slot))).alias("_slot"),
+        group, F.col(value).alias("_v"), F.col(weight).alias("_n")
     )
+    shares = [i / slots for i in range(1, slots)] or [0.5]
+    bounds = values.agg(F.percentile_approx("_v", shares, 10 * slots)).scalar()
+    values = values.withColumn("_bounds", bounds)
+    values = values.withColumn("_slot", _slot("_v", F.col("_bounds"), len(shares))).drop("_bounds")
     whole = Window.partitionBy(group)
-    slots = (
+    chosen = (
         values.groupBy(group, "_slot")
         .agg(F.sum("_n").alias("_in_slot"))
         .withColumns(
@@ -47,11 +60,11 @@ def exact_median(
         .drop("_through")
     )
     in_slot = Window.partitionBy(group, "_slot").orderBy("_v")
-    ranked = values.join(slots, [group, "_slot"]).withColumn(
+    ranked = values.join(chosen, [group, "_slot"]).withColumn(
         "_through", F.col("_below") + F.sum("_n").over(in_slot)
     )
 
-    def at(rank: str):
+    def at(rank: str) -> Column:
         return F.max(F.expr(f"case when _through > {rank} and _through - _n <= {rank} then _v end"))
 
     return ranked.groupBy(group).agg(((at("_low_rank") + at("_high_rank")) / 2).alias(out))

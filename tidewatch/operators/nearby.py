@@ -21,6 +21,8 @@ def counts_around(
     before the centre date), ``on_or_after``, and the in-window count of each flag (a name
     and its SQL condition).
 
+    A centre without a date has no events near it and counts as a centre all the same.
+
     An interval join would pair every event with every centre near it, and a hot key would
     carry most of the pairs. Here both sides are first counted per (key, day), combined
     before the shuffle, and the interval becomes a range frame over the days of a key: a
@@ -35,7 +37,7 @@ def counts_around(
         )
     )
     marks = (
-        centres.filter(F.col(key).isNotNull() & F.col(centre_date).isNotNull())
+        centres.filter(F.col(key).isNotNull())
         .groupBy(key, centre_date)
         .agg(F.count("*").alias("centres"))
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions import norm_key
-from tidewatch.operators.lookup import spread_lookup
+from tidewatch.operators.lookup import hot_keys, spread_lookup
 from tidewatch.settings import Settings
 
 
@@ -20,19 +20,31 @@ def classify(rules: Sequence[tuple[str, Column]], otherwise: str) -> Column:
     return label.otherwise(F.lit(otherwise))
 
 
-def resolve_requesters(tickets: DataFrame, identities: DataFrame, settings: Settings) -> DataFrame:
+def email_key(settings: Settings) -> Column:
+    email = F.col("requester_email")
+    return email if settings.blank_emails_match else F.nullif(email, F.lit(""))
+
+
+def hot_ticket_keys(tickets: DataFrame, settings: Settings) -> DataFrame:
+    """The e-mails and labels that very many tickets have, counted in one pass."""
+    return hot_keys(tickets, email=[email_key(settings)], label=[norm_key("partner_label")])
+
+
+def resolve_requesters(
+    tickets: DataFrame, identities: DataFrame, settings: Settings, hot: DataFrame | None = None
+) -> DataFrame:
     """Adds registry matches and the requester type; the ticket grain is kept.
 
-    ``identities`` has one row per e-mail (``identity_lookup``).
+    ``identities`` has one row per e-mail (``identity_lookup``), ``hot`` the hot keys of the
+    tickets (``hot_ticket_keys``) if they are at hand.
     """
     email = F.col("requester_email")
-    key = email if settings.blank_emails_match else F.nullif(email, F.lit(""))
     matched = spread_lookup(
-        tickets.withColumn("email", key),
+        tickets.withColumn("email", email_key(settings)),
         identities,
         ["email"],
         spread_by="ticket_id",
-        salts=settings.salts_for(tickets.sparkSession),
+        hot=None if hot is None else hot.filter("name = 'email'"),
     ).drop("email")
     return matched.withColumns(
         {
@@ -58,10 +70,10 @@ def attribute(df: DataFrame, rungs: Sequence[tuple[Column, str]], out: str) -> D
 
 
 def attribute_partners(
-    requesters: DataFrame, labels: DataFrame, settings: Settings, tickets: DataFrame | None = None
+    requesters: DataFrame, labels: DataFrame, hot: DataFrame | None = None
 ) -> DataFrame:
-    """Adds the partner and how it was found. ``tickets`` are the rows before requesters were
-    resolved, if at hand; frequent labels are then counted without that join.
+    """Adds the partner and how it was found. ``hot`` are the hot keys of the tickets, if at hand;
+    else frequent labels are counted on ``requesters``.
 
     The method follows the requester type, not the value: an investor without a partner
     takes the label's partner and still counts as an e-mail match. Internal and unknown
@@ -73,8 +85,7 @@ def attribute_partners(
         labels,
         ["label_norm"],
         spread_by="ticket_id",
-        salts=settings.salts_for(requesters.sparkSession),
-        counted_on=None if tickets is None else tickets.select(label.alias("label_norm")),
+        hot=None if hot is None else hot.filter("name = 'label'"),
     ).drop("label_norm")
     chained = attribute(
         labelled,

@@ -6,13 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions import month_start, pct, round_half_up, week_start
-from tidewatch.operators.lookup import spread_lookup
+from tidewatch.operators.lookup import hot_keys, spread_lookup
 from tidewatch.operators.median import exact_median
 from tidewatch.operators.nearby import counts_around
 from tidewatch.operators.spine import align, row_points
 from tidewatch.plans.dimensions import with_partner
 from tidewatch.settings import Settings
-from tidewatch.sources.tables import write_once
 
 
 def _zero(name: str) -> str:
@@ -22,37 +21,27 @@ def _zero(name: str) -> str:
 def investor_summary(investors: DataFrame, tickets: DataFrame) -> DataFrame:
     """Ticket behaviour of every investor, also of those without a ticket.
 
-    Only tickets whose requester is the investor count. They are read once: reduced to one
-    row per investor and duration, written to the shared folder, and all aggregates, the
-    exact median among them, are taken from there.
+    Only tickets whose requester is the investor count. Totals are one aggregate that is combined
+    before its shuffle; the exact median takes the durations of resolved tickets alone.
     """
     own = tickets.filter("requester_type = 'investor' and investor_id is not null")
-    counted = write_once(
-        own.groupBy("investor_id", "resolution_hours").agg(
-            F.expr("count(*) as tickets"),
-            F.expr("count_if(is_resolved) as resolved"),
-            F.expr("count_if(is_open) as opened"),
-            F.expr("count_if(priority = 'urgent') as urgent"),
-            F.expr("count_if(priority = 'high') as high"),
-            F.expr("min(created_at) as first_at"),
-            F.expr("max(created_at) as last_at"),
-        )
-    )
-    totals = counted.groupBy("investor_id").agg(
-        F.expr("sum(tickets) as ticket_count"),
-        F.expr("sum(resolved) as resolved_count"),
-        F.expr("sum(opened) as open_count"),
-        F.expr("sum(urgent) as urgent_count"),
-        F.expr("sum(high) as high_count"),
-        F.expr(
-            "sum(resolution_hours * tickets) / sum(if(resolution_hours is null, null, tickets))"
-            " as avg_resolution_hours"
-        ),
-        F.expr("min(first_at) as first_ticket_at"),
-        F.expr("max(last_at) as last_ticket_at"),
+    totals = own.groupBy("investor_id").agg(
+        F.expr("count(*) as ticket_count"),
+        F.expr("count_if(is_resolved) as resolved_count"),
+        F.expr("count_if(is_open) as open_count"),
+        F.expr("count_if(priority = 'urgent') as urgent_count"),
+        F.expr("count_if(priority = 'high') as high_count"),
+        F.expr("avg(resolution_hours) as avg_resolution_hours"),
+        F.expr("min(created_at) as first_ticket_at"),
+        F.expr("max(created_at) as last_ticket_at"),
     )
+    durations = own.filter("resolution_hours is not null").groupBy("investor_id", "resolution_hours")
     medians = exact_median(
-        counted, "investor_id", "resolution_hours", "tickets", "median_resolution_hours"
+        durations.agg(F.count("*").alias("tickets")),
+        "investor_id",
+        "resolution_hours",
+        "tickets",
+        "median_resolution_hours",
     )
     counts = ("ticket_count", "resolved_count", "open_count", "urgent_count", "high_count")
     return (
@@ -157,14 +146,9 @@ def close_pressure(
         *("close_id", "fund_id", "fund_name", "close_number", "partner_id", "partner_name"),
         *("scheduled_close_date", "close_status", "total_committed_aum_gbp"),
     )
-    return spread_lookup(
-        described,
-        counts,
-        ["partner_id", "scheduled_close_date"],
-        spread_by="close_id",
-        salts=settings.salts_for(closes.sparkSession),
-        counted_on=calendar,
-    ).selectExpr(
+    on = ["partner_id", "scheduled_close_date"]
+    hot = hot_keys(calendar, key=[F.col(c) for c in on])
+    return spread_lookup(described, counts, on, spread_by="close_id", hot=hot).selectExpr(
         *described.columns,
         _zero("tickets_in_window"),
         _zero("tickets_before_close"),
@@ -206,14 +190,8 @@ def staffing_forecast(
     history = close_history(calendar, tickets, settings)
     day = F.col("scheduled_close_date")
     tickets_mean, urgent_mean = F.col("avg_tickets"), F.col("avg_high_urgent")
-    return spread_lookup(
-        _live_upcoming(closes),
-        history,
-        ["partner_id"],
-        spread_by="close_id",
-        salts=settings.salts_for(closes.sparkSession),
-        counted_on=_live_upcoming(calendar),
-    ).select(
+    # one row per partner, and both sides come straight from a shuffle: AQE splits a hot partner
+    return _live_upcoming(closes).join(history, "partner_id", "left").select(
         *("close_id", "fund_id", "fund_name", "close_number"),
         *("partner_id", "partner_name", "partner_type"),
         *("scheduled_close_date", "total_committed_aum_gbp"),

@@ -11,12 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from tidewatch.operators import checks, incremental
 from tidewatch.operators import lookup as lookups
 from tidewatch.operators import staging as stage
-from tidewatch.operators.resolve import attribute_partners, resolve_requesters
+from tidewatch.operators.resolve import attribute_partners, hot_ticket_keys, resolve_requesters
 from tidewatch.plans import dimensions as dims
 from tidewatch.plans import facts, marts
 from tidewatch.plans.quality import RULES
 from tidewatch.settings import Settings
-from tidewatch.sources import write_once, write_table
+from tidewatch.sources import Copies, write_table
 
 MARTS = {
     "dim_partner": "dim_partner",
@@ -151,13 +151,17 @@ class Warehouse:
     def labels(self) -> DataFrame:
         return lookups.label_lookup(self.raw["label_synonyms"])
 
+    @cached_property
+    def _hot_keys(self) -> DataFrame:
+        return hot_ticket_keys(self.tickets, self.settings)
+
     @cached_property
     def requesters(self) -> DataFrame:
-        return resolve_requesters(self.tickets, self.identities, self.settings)
+        return resolve_requesters(self.tickets, self.identities, self.settings, self._hot_keys)
 
     @cached_property
     def resolved(self) -> DataFrame:
-        return attribute_partners(self.requesters, self.labels, self.settings, self.tickets)
+        return attribute_partners(self.requesters, self.labels, self._hot_keys)
 
     # facts
 
@@ -232,13 +236,17 @@ class Warehouse:
     def build(self, schema: str) -> Warehouse:
         """Writes all marts as tables of ``schema``; later tables scan the earlier ones.
 
-        The fact is partitioned by creation month, which the refresh relies on.
+        The fact is partitioned by creation month, which the refresh relies on. Tickets are
+        resolved once, for the fact and the bridge.
         """
         done: dict[str, DataFrame] = {}
-        for name, attr in MARTS.items():
-            df = getattr(Warehouse(self.raw, self.settings, done), attr)
-            partition = "created_month" if name == FACT else None
-            done[name] = write_table(df, f"{schema}.{name}", partition)
+        with Copies(self.raw["tickets"].sparkSession) as keep:
+            resolved = keep(self.resolved)
+            for name, attr in MARTS.items():
+                model = Warehouse(self.raw, self.settings, done)
+                model.resolved = model.requesters = resolved
+                partition = "created_month" if name == FACT else None
+                done[name] = write_table(getattr(model, attr), f"{schema}.{name}", partition)
         return Warehouse(self.raw, self.settings, done)
 
     def refresh_batch(self, spark: SparkSession, table: str) -> DataFrame:
@@ -255,20 +263,28 @@ class Warehouse:
     def refresh_fact(self, spark: SparkSession, table: str, full: bool = False) -> None:
         """Brings the stored fact up to date; ``full`` derives all of it again."""
         if full:
-            write_table(write_once(self.ticket_fact), table, "created_month")
+            with Copies(spark) as keep:
+                write_table(keep(self.ticket_fact), table, "created_month")
             return
         batch = self.refresh_batch(spark, table)
         incremental.merge_into_table(batch, table, "ticket_id", "created_month")
 
     def check(self) -> DataFrame:
-        """One row per data check. What most checked tables start from is written once."""
-        base = Warehouse(self.raw, self.settings, self.stored)
-        base.resolved = base.requesters = write_once(self.resolved)
-        for name in ("dim_investor", "dim_fund_close"):
-            if name not in base.stored:
-                base.stored[name] = write_once(getattr(base, MARTS[name]))
-                base.__dict__.pop(MARTS[name])
+        """One row per data check.
+
+        The checks run at once. What most checked tables start from is written for the time
+        they take; the rows that come back are as many as there are checks.
+        """
+        spark = self.raw["tickets"].sparkSession
         shared_email = checks.Overlap(
             "no_shared_email", "dim_investor", "email", "dim_relationship_manager", "rm_email"
         )
-        return checks.report(base.tables(), RULES, [shared_email])
+        base = Warehouse(self.raw, self.settings, self.stored)
+        with Copies(spark) as keep:
+            base.resolved = base.requesters = keep(self.resolved)
+            for name in ("dim_investor", "dim_fund_close"):
+                if name not in base.stored:
+                    base.stored[name] = keep(getattr(base, MARTS[name]))
+                    base.__dict__.pop(MARTS[name])
+            report = checks.report(base.tables(), RULES, [shared_email])
+            return spark.createDataFrame(report.collect(), report.schema)

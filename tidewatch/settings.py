@@ -1,4 +1,4 @@
-"""Parameters of a build. Everything a run depends on is stated here, nothing is read from the clock."""
+"""Parameters of a build. Only a missing report day is taken from the clock."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
@@ -21,8 +21,6 @@ class Settings:
     """Build parameters shared by all plans.
 
     ``as_of`` is the day the report is made for; None means the day of the run.
-    ``salts`` is the number of tasks a hot join key is spread over; None derives it
-    from the session's shuffle width (see ``salts_for``).
     """
 
     as_of: date | None = None
@@ -36,7 +34,6 @@ class Settings:
     high_priorities: tuple[str, ...] = ("high", "urgent")
     min_sample: int = 3
     blank_emails_match: bool = True
-    salts: int | None = None
 
     def today(self) -> Column:
         return F.expr(self.today_sql)
@@ -53,13 +50,3 @@ class Settings:
     @property
     def open_sql(self) -> str:
         return f"status in ({quoted(*self.open_statuses)})"
-
-    def salts_for(self, spark: SparkSession) -> int:
-        """A hot key gets an eighth of the shuffle partitions, 256 at most.
-
-        With 8 partitions that is 1: a third of the rows in one of eight tasks is no
-        bottleneck, so the pass that finds the hot keys is left out.
-        """
-        if self.salts is not None:
-            return max(1, self.salts)
-        return max(1, min(256, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8))

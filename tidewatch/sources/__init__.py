@@ -1,5 +1,8 @@
 from tidewatch.sources.extracts import read_extract, read_extracts
 from tidewatch.sources.schemas import RAW
-from tidewatch.sources.tables import shared_folder, write_once, write_table
+from tidewatch.sources.tables import Copies, shared_folder, write_once, write_table
 
-__all__ = ["RAW", "read_extract", "read_extracts", "shared_folder", "write_once", "write_table"]
+__all__ = [
+    *("RAW", "Copies", "read_extract", "read_extracts"),
+    *("shared_folder", "write_once", "write_table"),
+]

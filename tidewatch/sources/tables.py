@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import re
 import tempfile
 import uuid
 
@@ -32,7 +33,7 @@ def write_table(
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster in spark.checkpoint.dir.
 
-    Only a local session may go without the setting; it gets a folder of its own.
+    Only a session within one process may go without the setting; it gets a folder of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
@@ -40,7 +41,7 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return context.getCheckpointDir()
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="tidewatch-")
     context.setCheckpointDir(folder)
@@ -51,10 +52,36 @@ def write_once(df: DataFrame) -> DataFrame:
     """Writes ``df`` to the shared folder and returns a scan of the copy.
 
     For results that several branches of a plan read: they are computed once, survive the
-    loss of executors, and have a known size when the rest is planned. The folder belongs
-    to the cluster, which clears it.
+    loss of executors, and have a known size when the rest is planned. The copy stays for as
+    long as its readers may come, which only the caller knows: see ``Copies`` for one that ends
+    with a job. The folder belongs to the cluster, which clears it.
     """
+    return _written(df)[1]
+
+
+def _written(df: DataFrame) -> tuple[str, DataFrame]:
     path = f"{shared_folder(df.sparkSession)}/once-{uuid.uuid4().hex}"
     df.write.parquet(path)
     logger.info("copy written to %s", path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return path, df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Copies:
+    """Copies as ``write_once`` makes them, removed at the end of the ``with`` block."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        path, copy = _written(df)
+        self.paths.append(path)
+        return copy
+
+    def __enter__(self) -> Copies:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for path in self.paths:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)

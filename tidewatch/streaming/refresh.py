@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections import ChainMap
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.operators.incremental import merge_into_table
 from tidewatch.plans.warehouse import Warehouse
 from tidewatch.settings import Settings
+from tidewatch.sources import Copies
 
 
 def refresh_from_stream(
@@ -20,22 +21,33 @@ def refresh_from_stream(
     settings: Settings,
     table: str,
     checkpoint: str,
+    sequence: str,
     **trigger,
 ) -> StreamingQuery:
     """Resolves each micro-batch of raw tickets and merges it into the stored fact.
 
-    ``tickets`` is a streaming DataFrame of raw tickets. Within a batch the latest state of
-    a ticket counts. The merge replaces rows by key, so a batch that is run again after a
-    failure changes nothing.
+    ``tickets`` is a streaming DataFrame of raw tickets with a column ``sequence`` that grows with
+    every state of a ticket (a change time or version of the source system). The state with the
+    greatest sequence counts, within a batch and against what is stored: the fact keeps the
+    column, and states that arrive late are dropped. Equal sequences are the same state. So a
+    batch that is run again after a failure, or out of turn, changes nothing.
     """
 
     def merge(batch: DataFrame, _: int) -> None:
-        newest = Window.partitionBy("ticket_id").orderBy(
-            F.desc_nulls_last("resolved_at"), F.desc("created_at"), F.xxhash64(*batch.columns)
-        )
-        latest = batch.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1")
-        model = Warehouse(ChainMap({"tickets": latest.drop("_rank")}, raw), settings)
-        merge_into_table(model.ticket_fact, table, "ticket_id", "created_month")
+        spark, columns = batch.sparkSession, batch.columns
+        newest = F.struct(F.col(sequence), F.xxhash64(*columns))
+        latest = batch.groupBy("ticket_id").agg(F.max_by(F.struct(*columns), newest).alias("_row"))
+        latest = latest.select("_row.*")
+        stored = spark.table(table)
+        if sequence in stored.columns:
+            known = stored.select("ticket_id", F.col(sequence).alias("_known"))
+            late = F.col("_known").isNotNull() & ~(F.col(sequence) > F.col("_known"))
+            latest = latest.join(known, "ticket_id", "left").filter(~late).select(*columns)
+        with Copies(spark) as keep:
+            latest = keep(latest)
+            model = Warehouse(ChainMap({"tickets": latest.drop(sequence)}, raw), settings)
+            fact = model.ticket_fact.join(latest.select("ticket_id", sequence), "ticket_id")
+            merge_into_table(fact, table, "ticket_id", "created_month")
 
     return (
         tickets.writeStream.foreachBatch(merge)
