@@ -1,0 +1,82 @@
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+
+from tests.llm.cases import frame, multiset, rows_of, texts
+from tidewatch.llm import bpe
+from tidewatch.llm.queries import RANKS
+
+
+@pytest.fixture(scope="module")
+def pair():
+    ranks = bpe.read_ranks(RANKS)
+    library = tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+    )
+    return bpe.load(RANKS, public_tokenizers.PATTERN), library
+
+
+def test_against_the_library(pair):
+    own, library = pair
+    rng = random.Random(5)
+    letters = " \n\t\x0b\x1c\x1f\x85\xa0 abcABC'std123²½Ⅷ一é̀!?*\x00<|endoftext|>😀"
+    for _ in range(3000):
+        text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 30)))
+        assert own.encode(text) == library.encode_ordinary(text)
+        assert own.decode(own.encode(text)) == text.encode()
+
+
+def test_very_long_matches(pair):
+    own, library = pair
+    rng = random.Random(6)
+    for text in ["a" * 20_000, "the" * 5_000, "".join(rng.choice("abcdeth") for _ in range(30_000))]:
+        assert own.encode(text) == library.encode_ordinary(text)
+
+
+def test_queue_gives_lowest_rank_and_leftmost_position():
+    rng = random.Random(8)
+    queue, held = bpe.RankQueue(70_000), []
+    for _ in range(5000):
+        if held and rng.random() < 0.5:
+            rank = queue.lowest()
+            assert (rank, queue.pop(rank)) == min(held)
+            held.remove(min(held))
+        else:
+            entry = (rng.choice([3, 255, 256, 65_535, 65_536, rng.randrange(70_000)]), rng.randrange(50))
+            queue.push(*entry)
+            held.append(entry)
+    while held:
+        rank = queue.lowest()
+        assert (rank, queue.pop(rank)) == min(held)
+        held.remove(min(held))
+    assert queue.lowest() == -1
+
+
+@pytest.mark.parametrize("with_ids", [False, True])
+def test_round_trip(spark, pair, with_ids):
+    _, library = pair
+    got = rows_of(bpe.round_trip(frame(spark), RANKS, public_tokenizers.PATTERN, with_ids=with_ids))
+    want = []
+    for i, t in texts():
+        ids = library.encode_ordinary(t or "")
+        packed = np.array(ids, "<u4").tobytes()
+        row = (i, len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest())
+        want.append((*row, tuple(ids)) if with_ids else row)
+    if with_ids:
+        got = [(*r[:4], tuple(r[4])) for r in got]
+    assert multiset(got) == multiset(want)
+
+
+def test_encoded_and_decoded_tables(spark):
+    docs = frame(spark)
+    ids = bpe.encoded(docs, RANKS, public_tokenizers.PATTERN)
+    back = rows_of(bpe.decoded(ids, RANKS, public_tokenizers.PATTERN))
+    assert multiset((i, bytes(b)) for i, b in back) == multiset((i, (t or "").encode()) for i, t in texts())
+
+
+def test_empty_table(spark):
+    assert bpe.round_trip(frame(spark, []), RANKS, public_tokenizers.PATTERN).collect() == []

@@ -1,0 +1,103 @@
+import hashlib
+import random
+import re
+from collections import defaultdict
+
+import pytest
+
+from tests.llm.cases import frame, multiset, rows_of, texts
+from tidewatch.llm import decontaminate
+from tidewatch.llm.queries import QUERIES
+
+SF_DIR = "/root/testdata/sf0.01"
+WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+
+
+def words_of(text):
+    return WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def expected(rows, items, length=10):
+    windows = defaultdict(set)
+    for item, text in items:
+        words = words_of(text)
+        size = min(length, len(words))
+        for at in range(len(words) - size + 1) if size else ():
+            windows[tuple(words[at : at + size])].add(item)
+    sizes = {len(w) for w in windows}
+    found = []
+    for i, text in rows:
+        words, hit, items_here = words_of(text), set(), set()
+        for size in sizes:
+            for at in range(len(words) - size + 1):
+                items_of = windows.get(tuple(words[at : at + size]))
+                if items_of:
+                    hit.update(range(at, at + size))
+                    items_here |= items_of
+        names = sorted(str(x) for x in items_here if x is not None)
+        sha = hashlib.sha256(",".join(names).encode()).hexdigest()
+        found.append((i, len(words), len(hit), len(names), sha, bool(hit)))
+    return found
+
+
+def benchmark():
+    passage = next(t for i, t in texts() if i == 140)
+    words = passage.split()
+    return [
+        (1, passage),
+        (1, passage),
+        (2, " ".join(words[5:15]).upper()),
+        (3, "not in " + " ".join(words[3:12]) + " any text"),
+        (4, "one COPIED, text"),
+        (5, None),
+        (6, "?!"),
+        (7, "漢字"),
+        (8, " ".join(words[20:25] * 4)),
+        (9, "aaaa " * 12),
+        (None, "white space"),
+        (10, "the " + " ".join(words[30:40])),
+    ]
+
+
+def items_frame(spark, items):
+    data = [(i, t, "x", "y") for i, t in items]
+    return spark.createDataFrame(data, "item_id long, text string, key string, marks string")
+
+
+@pytest.mark.parametrize("broadcast", [200_000, 0])
+def test_against_brute_force(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", broadcast)
+    got = decontaminate.contamination(frame(spark), items_frame(spark, benchmark()))
+    assert multiset(rows_of(got)) == multiset(expected(texts(), benchmark()))
+
+
+def test_random_windows(spark):
+    rng = random.Random(14)
+    line = lambda n: " ".join(rng.choice("abc") for _ in range(n))
+    rows = [(n, line(rng.randint(0, 40))) for n in range(80)]
+    items = [(n, line(rng.randint(7, 30))) for n in range(12)]
+    got = decontaminate.contamination(frame(spark, rows), items_frame(spark, items))
+    assert multiset(rows_of(got)) == multiset(expected(rows, items))
+
+
+def test_query_against_brute_force(spark):
+    read = lambda t: [tuple(r)[:2] for r in spark.read.parquet(f"{SF_DIR}/{t}.parquet").collect()]
+    got = QUERIES["op9_decontamination"](spark, SF_DIR)
+    assert multiset(rows_of(got)) == multiset(expected(read("documents"), read("benchmark")))
+
+
+def test_clean_documents_stay(spark):
+    docs = frame(spark)
+    got = decontaminate.decontaminate(docs, items_frame(spark, benchmark()))
+    assert got.columns == docs.columns
+    want = [
+        (i, t) for (i, t), r in zip(texts(), expected(texts(), benchmark()), strict=True) if not r[5]
+    ]
+    assert multiset(rows_of(got.select("doc_id", "text"))) == multiset(want)
+
+
+def test_empty_tables(spark):
+    items = items_frame(spark, benchmark())
+    assert decontaminate.contamination(frame(spark, []), items).collect() == []
+    got = rows_of(decontaminate.contamination(frame(spark), items.limit(0)))
+    assert multiset(got) == multiset(expected(texts(), []))

@@ -1,0 +1,52 @@
+import hashlib
+import random
+
+import pytest
+
+from tests.llm.cases import frame, multiset, order, plain_words, rows_of, texts
+from tidewatch.llm import bloom
+from tidewatch.llm.substring_dedup import deduplicated
+
+
+def expected(rows, length):
+    first = {}
+    split = [(i, plain_words(t)) for i, t in rows]
+    for i, words in split:
+        for at in range(len(words) - length + 1):
+            run = tuple(words[at : at + length])
+            first[run] = min(first.get(run, float("inf")), order(i))
+    found = []
+    for i, words in split:
+        gone = set()
+        for at in range(len(words) - length + 1):
+            if first[tuple(words[at : at + length])] < order(i):
+                gone.update(range(at, at + length))
+        kept = " ".join(w for k, w in enumerate(words) if k not in gone)
+        found.append((i, len(words), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return found
+
+
+@pytest.mark.parametrize("max_bits", [bloom.MAX_BITS, bloom.BITMAP_BITS])
+def test_against_brute_force(spark, max_bits):
+    got = rows_of(deduplicated(frame(spark), 13, max_bits=max_bits))
+    assert multiset(got) == multiset(expected(texts(), 13))
+
+
+@pytest.mark.parametrize("length", [1, 2, 5])
+def test_other_lengths(spark, length):
+    rng = random.Random(length)
+    rows = [(n, " ".join(rng.choice("abcdefgh") for _ in range(rng.randint(0, 12)))) for n in range(60)]
+    got = rows_of(deduplicated(frame(spark, rows), length))
+    assert multiset(got) == multiset(expected(rows, length))
+
+
+def test_a_passage_in_every_document(spark):
+    rng = random.Random(9)
+    passage = " ".join(f"p{n}" for n in range(60))
+    rows = [(n, f"a{n} b{n} {passage} c{rng.random()}") for n in range(300)]
+    got = {r[0]: r[2] for r in rows_of(deduplicated(frame(spark, rows), 13))}
+    assert got == {n: 60 * (n > 0) for n in range(300)}
+
+
+def test_empty_table(spark):
+    assert deduplicated(frame(spark, [])).collect() == []
