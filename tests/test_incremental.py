@@ -1,8 +1,10 @@
+import os
 import uuid
 
 import pytest
-from helpers import AS_OF, at, model, rows
+from helpers import AS_OF, at, day, model, rows
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch import Settings, Warehouse
 from tidewatch.operators.incremental import (
@@ -42,6 +44,7 @@ def table(spark):
 
 
 def state(spark, table):
+    spark.catalog.refreshTable(table)  # another session may have written it
     return {r.ticket_id: (r.status, r.is_resolved) for r in spark.table(table).collect()}
 
 
@@ -161,32 +164,56 @@ def test_sync_schema(spark):
     assert got.first() == (1, None)
 
 
+def test_a_changed_type_is_synchronised(spark, table):
+    old = spark.createDataFrame([(1, 7, day("2024-01-01"))], "k int, v int, m date")
+    write_table(old, table, "m")
+    new = spark.createDataFrame([(2, 5_000_000_000, day("2024-01-01"))], "k int, v bigint, m date")
+    merge_into_table(new, table, "k", "m")
+    assert dict(spark.table(table).dtypes)["v"] == "bigint"
+    assert sorted((r.k, r.v) for r in spark.table(table).collect()) == [(1, 7), (2, 5_000_000_000)]
+
+
+def test_merges_leave_no_copies(spark, table):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    copies = lambda: set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    loaded(spark, table)
+    before = copies()
+    m = model(spark, tickets=[ticket(4, "2024-03-01T10:00:00")])
+    m.refresh_fact(spark, table)
+    m.refresh_fact(spark, table, full=True)
+    m.check()
+    assert copies() == before
+
+
 def test_stream_of_tickets_refreshes_the_fact(spark, table, tmp_path):
+    """States count by their sequence: a ticket is closed and opened again, and one comes late."""
     loaded(spark, table)
     landing, checkpoint = str(tmp_path / "landing"), str(tmp_path / "checkpoint")
     settings = Settings(as_of=AS_OF)
     raw = model(spark).raw
-
-    def arrive(tickets):
-        rows(spark, RAW["tickets"], tickets).coalesce(1).write.mode("append").parquet(landing)
-        stream = spark.readStream.schema(RAW["tickets"]).parquet(landing)
-        refresh_from_stream(stream, raw, settings, table, checkpoint).awaitTermination()
-
-    arrive([ticket(3, "2024-02-10T10:00:00"), ticket(4, "2024-03-01T10:00:00")])
+    schema = T.StructType([*RAW["tickets"].fields, T.StructField("version", T.LongType())])
+
+    def arrive(*states):
+        data = [{**t, "version": v} for v, t in states]
+        rows(spark, schema, data).coalesce(1).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(schema).parquet(landing)
+        refresh_from_stream(
+            stream, raw, settings, table, checkpoint, sequence="version"
+        ).awaitTermination()
+
+    closed = ("closed", "2024-03-02T10:00:00")
+    arrive((1, ticket(3, "2024-02-10T10:00:00")), (1, ticket(4, "2024-03-01T10:00:00")))
     arrive(
-        [
-            ticket(4, "2024-03-01T10:00:00"),
-            ticket(4, "2024-03-01T10:00:00", "closed", "2024-03-02T10:00:00"),
-            ticket(1, "2024-01-05T10:00:00", "closed", "2024-02-11T00:00:00"),
-        ]
+        (3, ticket(4, "2024-03-01T10:00:00")),
+        (2, ticket(4, "2024-03-01T10:00:00", *closed)),
+        (2, ticket(1, "2024-01-05T10:00:00", "closed", "2024-02-11T00:00:00")),
     )
-    assert state(spark, table) == {
-        1: ("closed", True),
-        2: ("open", False),
-        3: ("open", False),
-        4: ("closed", True),
-        9: ("open", False),
-    }
+    want = {1: ("closed", True), 2: ("open", False), 3: ("open", False), 9: ("open", False)}
+    assert state(spark, table) == {**want, 4: ("open", False)}  # opened again
+    arrive((2, ticket(4, "2024-03-01T10:00:00", *closed)), (1, ticket(1, "2024-01-05T10:00:00")))
+    assert state(spark, table) == {**want, 4: ("open", False)}  # both come late
+    arrive((4, ticket(4, "2024-03-01T10:00:00", *closed)))
+    assert state(spark, table) == {**want, 4: ("closed", True)}
 
 
 def test_stored_fact_feeds_the_marts(spark, table):

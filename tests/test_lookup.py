@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators.lookup import (
     first_per_key,
+    hot_keys,
     identity_lookup,
     investor_by_email,
     label_lookup,
@@ -79,26 +80,37 @@ def test_label_spellings_collapse(spark):
     assert got == {"acme": "P1", "beta": "P2"}
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
-@pytest.mark.parametrize("salts", [1, 2, 16])
-def test_spread_lookup_equals_left_join(spark, salts, broadcast):
-    # a third of the rows under one key, a third without a key, keys without a lookup row
+def hot_third(spark, n=3000):
+    """A third of the rows under one key, 44 % without a key, keys without a lookup row."""
     data = [
-        (i, "hot" if i % 3 == 0 else None if i % 3 == 1 else f"k{i % 50}") for i in range(3000)
+        (i, "hot" if i % 9 < 3 else None if i % 9 < 7 else f"k{i % 50}") for i in range(n)
     ]
     facts = spark.createDataFrame(data, "id int, k string")
     lookup = spark.createDataFrame(
         [("hot", 1), *((f"k{i}", i) for i in range(25)), ("other", 9)], "k string, v int"
     )
-    threshold = "10485760" if broadcast else "-1"
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    return facts, lookup
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+@pytest.mark.parametrize("tasks", [1, 8, 64])
+def test_spread_lookup_equals_left_join(spark, tasks, broadcast):
+    facts, lookup = hot_third(spark)
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "10485760" if broadcast else "-1",
+        "spark.sql.shuffle.partitions": str(tasks),
+    }
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     try:
-        got = spread_lookup(facts, lookup, ["k"], "id", salts, hot_keys=5)
+        got = spread_lookup(facts, lookup, ["k"], "id")
         expected = facts.join(lookup, ["k"], "left")
         assert got.columns == expected.columns
         assert got.orderBy("id").collect() == expected.orderBy("id").collect()
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_spread_lookup_on_two_columns(spark):
@@ -107,17 +119,24 @@ def test_spread_lookup_on_two_columns(spark):
         "id int, k string, d int",
     )
     lookup = spark.createDataFrame([("a", 0, "even"), ("a", 1, "odd")], "k string, d int, v string")
-    got = spread_lookup(facts, lookup, ["k", "d"], "id", 4)
+    got = spread_lookup(facts, lookup, ["k", "d"], "id")
     expected = facts.join(lookup, ["k", "d"], "left")
     assert got.orderBy("id").collect() == expected.orderBy("id").collect()
 
 
-def test_salting_spreads_the_hot_key(spark):
-    """No shuffle partition of the salted join gets a hot key's rows all to itself."""
-    facts = spark.range(20000).select(
-        F.col("id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k")
-    )
-    lookup = spark.createDataFrame([("hot", 1)], "k string, v int")
+def test_hot_keys_get_as_many_salts_as_their_share_needs(spark):
+    facts, _ = hot_third(spark)
+    found = hot_keys(facts, key=[F.col("k")], other=[F.col("id")]).collect()
+    hot = facts.select(F.xxhash64(F.lit("hot"))).first()[0]
+    assert [(r["name"], r["hash"]) for r in found] == [("key", hot)]
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keyed = facts.filter("k is not null").count()
+    assert found[0]["salts"] == -(-facts.filter("k = 'hot'").count() * tasks // keyed)
+
+
+def test_no_task_gets_much_more_than_the_mean(spark):
+    """The hot key and the rows without a key are spread over the tasks of the join."""
+    facts, lookup = hot_third(spark, 40_000)
     confs = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.enabled": "false",
@@ -127,13 +146,10 @@ def test_salting_spreads_the_hot_key(spark):
     for k, v in confs.items():
         spark.conf.set(k, v)
     try:
-        sizes = {}
-        for salts in (1, 64):
-            joined = spread_lookup(facts, lookup, ["k"], "id", salts, hot_keys=10)
-            parts = joined.groupBy(F.spark_partition_id().alias("p")).count()
-            sizes[salts] = max(r["count"] for r in parts.collect())
+        joined = spread_lookup(facts, lookup, ["k"], "id")
+        parts = joined.groupBy(F.spark_partition_id().alias("p")).count()
+        largest = max(r["count"] for r in parts.collect())
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
-    assert sizes[1] > 6600  # the whole key in one task
-    assert sizes[64] < 3000
+    assert largest < 2.5 * 40_000 / 16

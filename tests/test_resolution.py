@@ -78,8 +78,14 @@ def test_grain_is_kept_whatever_the_salting(spark):
         ticket(i, ["ann@x.com", "rm@x.com", None, "nobody@y.com"][i % 4], [None, "Acme Ltd"][i % 2])
         for i in range(400)
     ]
-    plain = resolved(spark, tickets, Settings(as_of=AS_OF, salts=1))
-    salted = resolved(spark, tickets, Settings(as_of=AS_OF, salts=32))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "1")
+        plain = resolved(spark, tickets)
+        spark.conf.set("spark.sql.shuffle.partitions", "64")
+        salted = resolved(spark, tickets)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     assert len(plain) == 400 and plain == salted
 
 

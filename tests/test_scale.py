@@ -9,6 +9,8 @@ import pytest
 from test_oracle import ORACLE, SF_DIR, _rows, duck  # noqa: F401
 
 from __spark_entry__ import queries
+from fixture.queries import QUERIES
+from tidewatch.sources import RAW
 
 CLUSTER = {
     "spark.sql.shuffle.partitions": "64",
@@ -34,7 +36,11 @@ def plan(df):
     return text.getvalue()
 
 
-SALTED = ["attribution", "investor_summary", "close_pressure_14", "staffing_forecast", "aq_05"]
+SALTED = [
+    *("attribution", "ticket_tags", "investor_summary", "team_pressure_weekly"),
+    *("partner_pressure_weekly", "close_pressure_14", "staffing_forecast", "theme_summary"),
+    *("attribution_health", "incremental_merge", "check_report", "aq_05", "aq_14"),
+]
 
 
 @pytest.mark.parametrize("name", SALTED)
@@ -45,13 +51,47 @@ def test_same_result(cluster, duck, name):  # noqa: F811
     assert _rows(df.columns, [tuple(r) for r in df.collect()]) == expected
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - {"check_report"}))
+def inputs_of(text, operator):
+    return re.findall(rf"\(\d+\) {operator}\nInput \[\d+\]: \[(.*)\]", text)
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"check_report"}))
 def test_no_plan_pairs_all_rows_or_leaves_the_jvm(cluster, name):
     text = plan(queries()[name](cluster, SF_DIR))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
         assert operator not in text
-    # what is broadcast is the list of hot keys, bounded by its limit
-    assert text.count("BroadcastExchange (") <= text.count("TakeOrderedAndProject (")
+    # what is broadcast are hot keys, fewer than tasks, and their number of rows, one per kind
+    for columns in inputs_of(text, "BroadcastExchange"):
+        assert re.fullmatch(r"_hash#\w+, _salts#\w+|name#\w+, of_all#\w+", columns)
+
+
+def test_the_check_report_pairs_no_rows(cluster):
+    """Its plan is made of the stored copies that the checks run on."""
+    from fixture.extracts import warehouse
+    from tidewatch.operators.checks import report
+    from tidewatch.plans.quality import RULES
+
+    text = plan(report(warehouse(cluster, SF_DIR).tables(), RULES))
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
+        assert operator not in text
+
+
+def test_the_fact_reads_the_tickets_twice(cluster):
+    """Once to count hot keys of both kinds, once for the rows."""
+    from fixture.extracts import warehouse
+    from tidewatch import Warehouse
+
+    source = warehouse(cluster, SF_DIR)
+    folder = cluster.conf.get("spark.checkpoint.dir") + "/scanned-tickets"
+    source.raw["tickets"].write.mode("overwrite").parquet(folder)
+    raw = {**{n: source.raw[n] for n in RAW}, "tickets": cluster.read.parquet(folder)}
+    fact = Warehouse(raw, source.settings).ticket_fact
+    fact.write.format("noop").mode("overwrite").save()
+    executed = fact._jdf.queryExecution().executedPlan()
+    text = plan(fact)
+    reads = re.findall(r"Location: \w+ \[[^\]]*scanned-tickets", text)
+    reused = len(re.findall(r"\(\d+\) ReusedExchange", text))
+    assert executed is not None and len(reads) - reused <= 2
 
 
 def test_scans_read_only_the_columns_they_need(cluster):

@@ -1,6 +1,7 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 from helpers import AS_OF, at, day, model, rows
 
 from fixture.extracts import warehouse
@@ -35,6 +36,50 @@ def test_csv_extract_has_the_declared_types(spark, tmp_path):
     assert got["k2"].partner_id is None and got["k2"].scheduled_close_date is None
 
 
+def test_csv_texts_with_quotes_line_breaks_and_backslashes(spark, tmp_path):
+    header = ",".join(RAW["tickets"].names)
+    place = RAW["tickets"].names.index("subject")
+    texts = ['He said "now", please', "first line\nsecond", 'C:\\temp\\"x"', "ends with \\"]
+    lines = []
+    for n, text in enumerate(texts):
+        cells = [""] * len(RAW["tickets"].names)
+        cells[0], cells[place] = str(n), '"' + text.replace('"', '""') + '"'
+        lines.append(",".join(cells))
+    path = write_csv(tmp_path, "tickets", header, *lines)
+    got = read_extract(spark, "tickets", path, multi_line=True).orderBy("ticket_id")
+    assert [r["subject"] for r in got.collect()] == texts
+    flat = write_csv(tmp_path, "flat", header, lines[0], *lines[2:])
+    got = read_extract(spark, "tickets", flat).orderBy("ticket_id")
+    assert [r["subject"] for r in got.collect()] == [texts[0], *texts[2:]]
+
+
+def test_extracts_are_the_same_as_csv(spark, tmp_path):
+    source = warehouse(spark, SF_DIR)
+    for name in RAW:
+        df = source.raw[name].select(*(F.col(f.name).cast(f.dataType) for f in RAW[name].fields))
+        df.write.options(
+            header=True,
+            escape='"',
+            ignoreLeadingWhiteSpace=False,
+            ignoreTrailingWhiteSpace=False,
+        ).csv(str(tmp_path / f"{name}.csv"))
+        back = read_extract(spark, name, str(tmp_path / f"{name}.csv"))
+        trimmed = lambda rows: sorted(map(str, rows))
+        assert trimmed(back.collect()) == trimmed(df.collect())
+
+
+def test_naming_a_table_runs_nothing(spark):
+    """Planning every table and registering it as a view starts no job."""
+    m = warehouse(spark, SF_DIR)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    try:
+        m.register_views()
+        assert len(tracker.getJobIdsForGroup("planning")) == 0
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_malformed_csv_fails(spark, tmp_path):
     path = write_csv(tmp_path, "tag_themes", "tag,theme,theme_label,theme_sort_order", "a,b,c,first")
     with pytest.raises(Exception, match="(?i)malformed|cannot"):
@@ -116,12 +161,13 @@ def test_copies_go_to_the_folder_the_cluster_names(spark):
     assert copy.count() == 5 and all(folder in f for f in copy.inputFiles())
 
 
-def test_a_cluster_without_a_shared_folder_is_refused(monkeypatch):
+@pytest.mark.parametrize("master", ["yarn", "local-cluster[3,2,1000]", "spark://host:7077"])
+def test_a_cluster_without_a_shared_folder_is_refused(master):
     from types import SimpleNamespace
 
     from tidewatch.sources import shared_folder
 
-    context = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
     session = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=context)
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(session)
