@@ -82,6 +82,9 @@ class Copies:
         return self
 
     def __exit__(self, *_) -> None:
-        for path in self.paths:
-            folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        self.remove()
+
+    def remove(self) -> None:
+        while self.paths:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop())
             folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
