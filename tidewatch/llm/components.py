@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.shared import attach, write_once
+from tidewatch.llm.shared import attach
+from tidewatch.sources import Copies
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -32,25 +33,38 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
         moved = seen.select(F.col("other").alias("node"), F.col("least").alias("other")).unionByName(
             centres.select("node", F.col("least").alias("other"))
         )
-    return moved.filter("node <> other").distinct()
+    moved = moved.filter("node <> other")
+    return moved if large else moved.distinct()
 
 
 def both_ways(links: DataFrame) -> DataFrame:
     return links.unionByName(links.select(F.col("other").alias("node"), F.col("node").alias("other")))
 
 
+def _are_stars(links: DataFrame) -> bool:
+    """Whether every node has one link, and what it leads to has none."""
+    ends = links.selectExpr("node as id", "1 as leaving", "0 as arriving").unionByName(
+        links.selectExpr("other as id", "0 as leaving", "1 as arriving")
+    )
+    sums = ends.groupBy("id").agg(F.sum("leaving").alias("out"), F.max("arriving").alias("reached"))
+    return sums.filter("out > 1 or (out = 1 and reached = 1)").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
-    """(node, root) for every node that has a link: the smallest node it is connected with.
+    """(node, root) for every node but the smallest of its component: that smallest node.
 
-    ``links`` has two long columns, node and other; loops and repeats do no harm.
+    ``links`` has two long columns, node and other; loops and repeats do no harm. Only the last
+    round's copy stays in the shared folder.
     """
-    links = write_once(links.filter("node <> other").distinct())
-    seen = None
-    while True:
-        summary = links.agg(F.count("*"), F.sum(F.xxhash64("node", "other") % 2**31)).first()
-        if summary[0] == 0 or summary == seen:
+    spark = links.sparkSession
+    held = Copies(spark)
+    links = held(links.filter("node <> other").distinct())
+    while not links.isEmpty():
+        after = Copies(spark)
+        with Copies(spark) as keep:
+            links = after(_star(both_ways(keep(_star(both_ways(links), True))), False))
+        held.remove()
+        held = after
+        if _are_stars(links):
             break
-        seen = summary
-        large = write_once(_star(both_ways(links), True))
-        links = write_once(_star(both_ways(large), False))
     return links.select("node", F.col("other").alias("root"))
