@@ -1,7 +1,9 @@
+import random
 import zlib
 
 import numpy as np
 import pytest
+from public_tokenizers import PATTERN
 from tokenizers import Tokenizer
 
 from tests.llm.cases import frame, multiset, order, rows_of, texts
@@ -20,9 +22,18 @@ def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
 
+def test_encoder_against_the_library_on_whole_texts(library):
+    rng = random.Random(5)
+    encoder = tf.load_encoder(TOKENIZER, PATTERN)
+    letters = " \n\t\x0b\x1c\x1f\x85\xa0 abcABC'std123²½Ⅷ一é̀!?*\x00<|endoftext|>😀"
+    for _ in range(3000):
+        text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 30)))
+        assert np.frombuffer(encoder.packed(text), "<u2").tolist() == library(text)[:-1]
+
+
 @pytest.mark.parametrize("shard_size", [tf.SHARD_BYTES, 20_000])
 def test_files_against_the_library(spark, library, shard_size):
-    shards = tf.write_shards(frame(spark), TOKENIZER, VOCABULARY, shard_size=shard_size)
+    shards = tf.write_shards(frame(spark), TOKENIZER, PATTERN, VOCABULARY, shard_size=shard_size)
     got = rows_of(tf.read_report(spark, shards))
     want = [(i, len(library(t)), crc(library(t))) for i, t in texts()]
     assert multiset((i, n, c) for i, _, n, c in got) == multiset(want)
@@ -38,7 +49,7 @@ def test_files_against_the_library(spark, library, shard_size):
 
 def test_keyed_access(spark, library):
     rows = [(i, t) for i, t in texts() if i is not None and i < 170]
-    store = tf.TokenStore(tf.write_shards(frame(spark, rows), TOKENIZER, VOCABULARY, shard_size=20_000))
+    store = tf.TokenStore(tf.write_shards(frame(spark, rows), TOKENIZER, PATTERN, VOCABULARY, shard_size=20_000))
     assert len(store.shards) > 1
     for i, t in rows:
         assert store.ids(i).tolist() == library(t)
@@ -60,5 +71,5 @@ def test_perfect_hash_is_minimal_and_tells_absent_keys():
 
 
 def test_empty_table(spark):
-    assert tf.write_shards(frame(spark, []), TOKENIZER, VOCABULARY) == []
+    assert tf.write_shards(frame(spark, []), TOKENIZER, PATTERN, VOCABULARY) == []
     assert tf.read_report(spark, []).collect() == []
