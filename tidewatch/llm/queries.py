@@ -35,7 +35,8 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shards = write_shards(read(spark, sf_dir, "documents"), TOKENIZER, VOCABULARY)
+    docs = read(spark, sf_dir, "documents")
+    shards = write_shards(docs, TOKENIZER, public_tokenizers.PATTERN, VOCABULARY)
     return read_report(spark, shards)
 
 

@@ -33,12 +33,13 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm.pieces import StretchEncoder
+from tidewatch.llm.pieces import Remembered, StretchEncoder
 from tidewatch.llm.shared import shared_folder, text_of
 
 MAGIC = b"TWTOKEN1"
@@ -166,19 +167,32 @@ class Shard:
         return np.frombuffer(self.file.read_at(count * width, start * width), f"<u{width}")
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter by which byte-level vocabularies write each byte: itself if it can be seen."""
+    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + n) for n, b in enumerate(hidden)}
+
+
 @lru_cache(maxsize=2)
-def _encoder(path: str) -> StretchEncoder:
-    """Encodes by the tokenizers library; each distinct stretch of text once per Python worker."""
+def load_encoder(path: str, pattern: str) -> StretchEncoder:
+    """Encodes by the tokenizers library, as it would the whole text; special tokens are ordinary.
+
+    Texts are split by the tokenizer's pattern here, and the library's model encodes each distinct
+    match once per Python worker.
+    """
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings are ordinary text
-    width = id_width(tokenizer.get_vocab_size())
+    model, width = tokenizer.model, id_width(tokenizer.get_vocab_size())
+    letters, split = byte_letters(), regex.compile(pattern).findall
 
-    def make(stretch: str) -> bytes:
-        return np.array(tokenizer.encode(stretch, add_special_tokens=False).ids, f"<u{width}").tobytes()
+    def encoded(match: str) -> bytes:
+        tokens = model.tokenize(match.encode().decode("latin-1").translate(letters))
+        return np.array([t.id for t in tokens], f"<u{width}").tobytes()
 
-    return StretchEncoder(make)
+    matches = Remembered(encoded)
+    return StretchEncoder(lambda stretch: b"".join(map(matches.__getitem__, split(stretch))))
 
 
 def id_width(vocabulary: int) -> int:
@@ -220,6 +234,7 @@ class TokenStore:
 def write_shards(
     docs: DataFrame,
     tokenizer: str,
+    pattern: str,
     vocabulary: int,
     id: str = "doc_id",
     text: str = "text",
@@ -246,7 +261,7 @@ def write_shards(
     ranged = rows.repartitionByRange(-(-size // shard_size) or 1, *order).sortWithinPartitions(*order)
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, task = _encoder(tokenizer), TaskContext.get().partitionId()
+        encoder, task = load_encoder(tokenizer, pattern), TaskContext.get().partitionId()
         store, _ = pafs.FileSystem.from_uri(folder)
         end = np.array([end_id], f"<u{width}").tobytes()
         parts: list[bytes] = []
