@@ -108,7 +108,7 @@ def identity_lookup(investors: DataFrame, managers: DataFrame) -> DataFrame:
 
 
 def hot_keys(rows: DataFrame, **keys: Sequence[Column]) -> DataFrame:
-    """(name, hash, salts): keys of ``rows`` with more rows than a task's fair share.
+    """(hash, salts): keys of ``rows`` with more rows than a task's fair share.
 
     ``keys`` gives each kind of key a name and its columns; all kinds are counted in one pass,
     combined before the shuffle. As a hot key holds more than one part in as many as there are
@@ -119,7 +119,9 @@ def hot_keys(rows: DataFrame, **keys: Sequence[Column]) -> DataFrame:
     offered = [
         F.struct(
             F.lit(name).alias("name"),
-            F.when(reduce(and_, (c.isNotNull() for c in columns)), F.xxhash64(*columns)).alias("hash"),
+            F.when(
+                reduce(and_, (c.isNotNull() for c in columns)), F.xxhash64(F.lit(name), *columns)
+            ).alias("hash"),
         )
         for name, columns in keys.items()
     ]
@@ -133,7 +135,7 @@ def hot_keys(rows: DataFrame, **keys: Sequence[Column]) -> DataFrame:
     return (
         counts.join(F.broadcast(totals), "name")
         .filter(f"rows * {tasks} > of_all")
-        .selectExpr("name", "hash", f"int(ceil(rows * {tasks} / of_all)) as salts")
+        .selectExpr("hash", f"int(ceil(rows * {tasks} / of_all)) as salts")
     )
 
 
@@ -143,6 +145,7 @@ def spread_lookup(
     on: Sequence[str],
     spread_by: str,
     hot: DataFrame | None = None,
+    kind: str = "key",
 ) -> DataFrame:
     """Left join of ``facts`` to a lookup with one row per key, without a hot task.
 
@@ -151,19 +154,20 @@ def spread_lookup(
     salt is a hash of ``spread_by``, hence the same when a lost task is run again.
 
     ``hot`` (hash, salts) are the hot keys of ``facts`` as ``hot_keys`` finds them, if they were
-    counted elsewhere, such as on the staged rows that ``facts`` was joined from. There are fewer
-    than shuffle tasks, which bounds what is broadcast.
+    counted elsewhere, such as on the staged rows that ``facts`` was joined from; ``kind`` is the
+    name they have there. Of a kind there are fewer than shuffle tasks, which bounds what is
+    broadcast. Several lookups that use the same ``hot`` share its count and its broadcast.
     """
     on = list(on)
     if hot is None:
-        hot = hot_keys(facts, key=[F.col(c) for c in on])
+        hot = hot_keys(facts, **{kind: [F.col(c) for c in on]})
     hot = F.broadcast(hot.select(F.col("hash").alias("_hash"), F.col("salts").alias("_salts")))
     keyless = reduce(or_, (F.col(c).isNull() for c in on))
     spread = F.xxhash64(F.col(spread_by))
     salt = F.when(keyless, spread).otherwise(
         F.coalesce(F.pmod(spread, F.col("_salts")), F.lit(0)).cast("long")
     )
-    key = F.xxhash64(*on)
+    key = F.xxhash64(F.lit(kind), *(F.col(c) for c in on))
     left = facts.withColumn("_key", key).join(hot, F.col("_key") == F.col("_hash"), "left")
     right = lookup.withColumn("_key", key).join(hot, F.col("_key") == F.col("_hash"), "left")
     every_salt = F.sequence(F.lit(0).cast("long"), F.coalesce("_salts", F.lit(1)).cast("long") - 1)

@@ -44,7 +44,8 @@ def resolve_requesters(
         identities,
         ["email"],
         spread_by="ticket_id",
-        hot=None if hot is None else hot.filter("name = 'email'"),
+        hot=hot,
+        kind="email",
     ).drop("email")
     return matched.withColumns(
         {
@@ -85,7 +86,8 @@ def attribute_partners(
         labels,
         ["label_norm"],
         spread_by="ticket_id",
-        hot=None if hot is None else hot.filter("name = 'label'"),
+        hot=hot,
+        kind="label",
     ).drop("label_norm")
     chained = attribute(
         labelled,
