@@ -28,8 +28,10 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm.pieces import Remembered, StretchEncoder
 
-FAN = 8  # a word of the bitmap has 2**FAN bits
+FAN = 9  # a word of the bitmap has 2**FAN bits
 _LOW = (1 << FAN) - 1
+#: matches of the split pattern that a Python worker remembers
+REMEMBERED = 1 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -38,71 +40,19 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(t): int(r) for t, r in (line.split() for line in lines if line.strip())}
 
 
-class RankQueue:
-    """Positions by rank. ``levels[0]`` has a bit per rank, each level above one per word below."""
-
-    def __init__(self, ranks: int):
-        self.levels: list[list[int]] = []
-        size = ranks
-        while True:
-            size = (size + _LOW) >> FAN
-            self.levels.append([0] * size)
-            if size == 1:
-                break
-        self.buckets: dict[int, list[int]] = {}
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        place = rank
-        for level in self.levels:
-            word, bit = place >> FAN, 1 << (place & _LOW)
-            before = level[word]
-            level[word] = before | bit
-            if before:
-                break
-            place = word
-
-    def lowest(self) -> int:
-        """The lowest rank in use, -1 if there is none."""
-        if not self.levels[-1][0]:
-            return -1
-        place = 0
-        for level in reversed(self.levels):
-            word = level[place]
-            place = place << FAN | ((word & -word).bit_length() - 1)
-        return place
-
-    def pop(self, rank: int) -> int:
-        """Takes the leftmost position of a rank in use."""
-        bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            place = rank
-            for level in self.levels:
-                word = place >> FAN
-                level[word] &= ~(1 << (place & _LOW))
-                if level[word]:
-                    break
-                place = word
-        return position
-
-
 class Bpe:
     """Encoder and decoder for one rank file and split pattern."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.split = regex.compile(pattern).findall
-        self.queue = RankQueue(max(ranks.values()) + 1)
-        self.tokens = [b""] * (max(ranks.values()) + 1)
+        count = max(ranks.values()) + 1
+        self.buckets: dict[int, list[int]] = {}
+        self.words = [0] * ((count >> FAN) + 1)
+        self.tokens = [b""] * count
         for token, rank in ranks.items():
             self.tokens[rank] = token
-        self.matches = Remembered(self._packed_match)
+        self.matches = Remembered(self._packed_match, most=REMEMBERED)
         self.stretches = StretchEncoder(self._packed_stretch)
 
     def _packed_match(self, match: str) -> bytes:
@@ -112,42 +62,68 @@ class Bpe:
         return b"".join(map(self.matches.__getitem__, self.split(stretch)))
 
     def merge(self, piece: bytes) -> list[int]:
-        """Ids of one match of the pattern."""
+        """Ids of one match of the pattern.
+
+        The queue's steps are written out, as they are the inner loop: ``buckets`` holds heaps of
+        positions by rank, a bit of ``words`` stands for each rank in use, a bit of ``top`` for
+        each word in use. All of them are empty again at the end.
+        """
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        size, ranks, queue = len(piece), self.ranks, self.queue
+        size, rank_of = len(piece), self.ranks.get
+        buckets, words, top = self.buckets, self.words, 0
         end = list(range(1, size + 1))  # where the symbol that starts here ends
-        before = list(range(-1, size - 1))
+        before = list(range(-1, size - 1))  # where the symbol before it starts
         waiting = [-1] * size  # rank of the pair that starts here
         for at in range(size - 1):
-            rank = ranks.get(piece[at : at + 2])
+            rank = rank_of(piece[at : at + 2])
             if rank is not None:
                 waiting[at] = rank
-                queue.push(rank, at)
-        while (rank := queue.lowest()) >= 0:
-            at = queue.pop(rank)
+                bucket = buckets.get(rank)
+                if bucket is None:
+                    buckets[rank] = [at]
+                    words[rank >> FAN] |= 1 << (rank & _LOW)
+                    top |= 1 << (rank >> FAN)
+                else:
+                    bucket.append(at)
+        while top:
+            word = (top & -top).bit_length() - 1
+            lowest = words[word] & -words[word]
+            rank = word << FAN | (lowest.bit_length() - 1)
+            bucket = buckets[rank]
+            at = heappop(bucket)
+            if not bucket:
+                del buckets[rank]
+                words[word] ^= lowest
+                if not words[word]:
+                    top ^= 1 << word
             if waiting[at] != rank:
                 continue  # stale: the pair was merged or has changed
             right = end[at]
             stop = end[at] = end[right]
-            waiting[right] = -1
+            waiting[right] = waiting[at] = -1
+            left = before[at]
+            if left >= 0:
+                waiting[left] = -1
             if stop < size:
                 before[stop] = at
-            for left in (before[at], at):
-                if left < 0 or end[left] >= size:
-                    if left >= 0:
-                        waiting[left] = -1
+            for start, until in ((at, end[stop] if stop < size else 0), (left, stop)):
+                if start < 0 or not until:
                     continue
-                new = ranks.get(piece[left : end[end[left]]])
-                if new is None:
-                    waiting[left] = -1
-                elif new != waiting[left]:
-                    waiting[left] = new
-                    queue.push(new, left)
+                rank = rank_of(piece[start:until])
+                if rank is not None:
+                    waiting[start] = rank
+                    bucket = buckets.get(rank)
+                    if bucket is None:
+                        buckets[rank] = [start]
+                        words[rank >> FAN] |= 1 << (rank & _LOW)
+                        top |= 1 << (rank >> FAN)
+                    else:
+                        heappush(bucket, start)
         found, at = [], 0
         while at < size:
-            found.append(ranks[piece[at : end[at]]])
+            found.append(self.ranks[piece[at : end[at]]])
             at = end[at]
         return found
 

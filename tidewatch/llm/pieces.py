@@ -23,13 +23,13 @@ _CUT = re.compile(r"(?<=\S)(?= )")
 class Remembered(dict):
     """stretch -> what ``make`` gives for ``prefix`` + stretch; forgotten as a whole when full."""
 
-    def __init__(self, make: Callable[[str], bytes], prefix: str = ""):
-        self.make, self.prefix = make, prefix
+    def __init__(self, make: Callable[[str], bytes], prefix: str = "", most: int = REMEMBERED):
+        self.make, self.prefix, self.most = make, prefix, most
 
     def __missing__(self, stretch: str) -> bytes:
         value = self.make(self.prefix + stretch)
         if len(stretch) <= LONGEST:
-            if len(self) >= REMEMBERED:
+            if len(self) >= self.most:
                 self.clear()
             self[stretch] = value
         return value
