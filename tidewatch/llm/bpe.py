@@ -19,6 +19,7 @@ import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +27,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.pieces import Remembered, StretchEncoder
+from tidewatch.llm.pieces import Remembered, StretchEncoder, matches_of
 
 FAN = 9  # a word of the bitmap has 2**FAN bits
 _LOW = (1 << FAN) - 1
-#: matches of the split pattern that a Python worker remembers
-REMEMBERED = 1 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -52,14 +51,15 @@ class Bpe:
         self.tokens = [b""] * count
         for token, rank in ranks.items():
             self.tokens[rank] = token
-        self.matches = Remembered(self._packed_match, most=REMEMBERED)
+        self.matches = Remembered(self._packed_match)
         self.stretches = StretchEncoder(self._packed_stretch)
 
     def _packed_match(self, match: str) -> bytes:
-        return np.array(self.merge(match.encode()), "<u4").tobytes()
+        ids = self.merge(match.encode())
+        return pack(f"<{len(ids)}I", *ids)
 
     def _packed_stretch(self, stretch: str) -> bytes:
-        return b"".join(map(self.matches.__getitem__, self.split(stretch)))
+        return b"".join(map(self.matches.__getitem__, matches_of(stretch, self.split)))
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one match of the pattern.

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from itertools import islice
 
 #: stretches remembered by a Python worker, and the longest that is
 REMEMBERED = 1 << 19
@@ -20,17 +21,39 @@ _AFTER_SPACE = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S)(?= )")
 
 
+#: marks that end a word and are a piece of their own
+_MARKS = frozenset(".,;:!?")
+
+
+def matches_of(stretch: str, split: Callable[[str], list[str]]) -> list[str]:
+    """What ``split`` (all matches of the pattern) gives, without it for the commonest stretches.
+
+    In patterns of this family letters, with a space before them or not, are one match, and a mark
+    after them another.
+    """
+    word = stretch[1:] if stretch[:1] == " " else stretch
+    if word.isalpha():
+        return [stretch]
+    if word[-1:] in _MARKS and word[:-1].isalpha():
+        return [stretch[:-1], word[-1]]
+    return split(stretch)
+
+
 class Remembered(dict):
-    """stretch -> what ``make`` gives for ``prefix`` + stretch; forgotten as a whole when full."""
+    """stretch -> what ``make`` gives for ``prefix`` + stretch.
+
+    When it is full it forgets the later half, as frequent stretches come early.
+    """
 
-    def __init__(self, make: Callable[[str], bytes], prefix: str = "", most: int = REMEMBERED):
-        self.make, self.prefix, self.most = make, prefix, most
+    def __init__(self, make: Callable[[str], bytes], prefix: str = ""):
+        self.make, self.prefix = make, prefix
 
     def __missing__(self, stretch: str) -> bytes:
         value = self.make(self.prefix + stretch)
         if len(stretch) <= LONGEST:
-            if len(self) >= self.most:
-                self.clear()
+            if len(self) >= REMEMBERED:
+                for late in list(islice(reversed(self), REMEMBERED // 2)):
+                    del self[late]
             self[stretch] = value
         return value
 

@@ -30,6 +30,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import accumulate
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm.pieces import Remembered, StretchEncoder
+from tidewatch.llm.pieces import Remembered, StretchEncoder, matches_of
 from tidewatch.llm.shared import shared_folder, text_of
 
 MAGIC = b"TWTOKEN1"
@@ -186,13 +187,18 @@ def load_encoder(path: str, pattern: str) -> StretchEncoder:
     tokenizer = Tokenizer.from_file(path)
     model, width = tokenizer.model, id_width(tokenizer.get_vocab_size())
     letters, split = byte_letters(), regex.compile(pattern).findall
+    kind = {2: "H", 4: "I"}[width]
 
     def encoded(match: str) -> bytes:
         tokens = model.tokenize(match.encode().decode("latin-1").translate(letters))
-        return np.array([t.id for t in tokens], f"<u{width}").tobytes()
+        return pack(f"<{len(tokens)}{kind}", *(t.id for t in tokens))
 
     matches = Remembered(encoded)
-    return StretchEncoder(lambda stretch: b"".join(map(matches.__getitem__, split(stretch))))
+
+    def stretch(text: str) -> bytes:
+        return b"".join(map(matches.__getitem__, matches_of(text, split)))
+
+    return StretchEncoder(stretch)
 
 
 def id_width(vocabulary: int) -> int:
