@@ -4,11 +4,11 @@ import zlib
 import numpy as np
 import pytest
 from public_tokenizers import PATTERN
-from tokenizers import Tokenizer
+from tokenizers import AddedToken, Tokenizer
 
 from tests.llm.cases import frame, multiset, order, rows_of, texts
 from tidewatch.llm import token_files as tf
-from tidewatch.llm.queries import TOKENIZER, VOCABULARY
+from tidewatch.llm.queries import QUERIES, TOKENIZER, VOCABULARY
 
 
 @pytest.fixture(scope="module")
@@ -73,3 +73,38 @@ def test_perfect_hash_is_minimal_and_tells_absent_keys():
 def test_empty_table(spark):
     assert tf.write_shards(frame(spark, []), TOKENIZER, PATTERN, VOCABULARY) == []
     assert tf.read_report(spark, []).collect() == []
+
+
+def default_ids(text, path=TOKENIZER):
+    return Tokenizer.from_file(path).encode(text or "", add_special_tokens=False).ids
+
+
+def test_added_tokens_against_the_library_with_its_defaults():
+    rng = random.Random(6)
+    encoder = tf.load_encoder(TOKENIZER, PATTERN, encode_special_tokens=False)
+    whole = Tokenizer.from_file(TOKENIZER)
+    parts = ["<|endoftext|>", "<|endoftext|>", "<|endoftext", "|>", " ", "  ", "\n", "ab", "it's", "é😀", "1"]
+    texts_ = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>", ""]
+    texts_ += ["".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(3000)]
+    for text in texts_:
+        want = whole.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.packed(text), "<u2").tolist() == want
+    assert np.frombuffer(encoder.packed("a <|endoftext|> b"), "<u2").tolist() == [64, 220, 50256, 275]
+
+
+def test_added_tokens_that_ask_for_more_than_their_string(tmp_path):
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    tokenizer.add_tokens([AddedToken("<x>", lstrip=True), AddedToken("<xy", single_word=True)])
+    tokenizer.save(path := str(tmp_path / "tokenizer.json"))
+    encoder = tf.load_encoder(path, PATTERN, encode_special_tokens=False)
+    for text in ("a  <x> b", "a <xy b", "a <xyz", "no <|endoftext|> <x", "<x><|endoftext|>"):
+        assert np.frombuffer(encoder.packed(text), "<u2").tolist() == default_ids(text, path)
+
+
+def test_query_against_the_library_with_its_defaults(spark, tmp_path):
+    rows = [(1, "a <|endoftext|> b"), (2, "plain"), (3, "<|endoftext|>"), (4, None)]
+    frame(spark, rows, clashing=False).write.parquet(f"{tmp_path}/documents.parquet")
+    got = rows_of(QUERIES["op3_token_files"](spark, str(tmp_path)))
+    ids = {i: [*default_ids(t), 0] for i, t in rows}
+    starts = {i: sum(len(ids[j]) for j in ids if j < i) for i in ids}
+    assert sorted(got) == [(i, starts[i], len(ids[i]), crc(ids[i])) for i in sorted(ids)]

@@ -36,7 +36,9 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    shards = write_shards(docs, TOKENIZER, public_tokenizers.PATTERN, VOCABULARY)
+    shards = write_shards(
+        docs, TOKENIZER, public_tokenizers.PATTERN, VOCABULARY, encode_special_tokens=False
+    )
     return read_report(spark, shards)
 
 

@@ -23,10 +23,11 @@ replaces its file by the same one. A null text counts as empty; an empty table g
 from __future__ import annotations
 
 import json
+import re
 import uuid
 import zlib
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import accumulate
@@ -175,19 +176,55 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in seen} | {b: chr(256 + n) for n, b in enumerate(hidden)}
 
 
-@lru_cache(maxsize=2)
-def load_encoder(path: str, pattern: str) -> StretchEncoder:
-    """Encodes by the tokenizers library, as it would the whole text; special tokens are ordinary.
+class AddedTokenEncoder:
+    """Encodes a text around the added tokens in it: their ids, and the parts between them.
+
+    Of tokens that begin at one place the longest counts. Tokens that ask for more than their string
+    (white space around them, whole words, normalized texts) leave texts with any of them to ``whole``.
+    """
+
+    def __init__(
+        self,
+        parts: StretchEncoder,
+        added: dict[str, bytes],
+        whole: Callable[[str], bytes] | None = None,
+    ):
+        self.parts, self.added, self.whole = parts, added, whole
+        longest_first = sorted(added, key=len, reverse=True)
+        self.split = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")").split
+
+    def packed(self, text: str) -> bytes:
+        parts = self.split(text)
+        if len(parts) == 1:
+            return self.parts.packed(text)
+        if self.whole:
+            return self.whole(text)
+        return b"".join(
+            self.added[part] if n % 2 else self.parts.packed(part) for n, part in enumerate(parts)
+        )
+
 
-    Texts are split by the tokenizer's pattern here, and the library's model encodes each distinct
+@lru_cache(maxsize=2)
+def load_encoder(
+    path: str, pattern: str, encode_special_tokens: bool = True
+) -> StretchEncoder | AddedTokenEncoder:
+    """Encodes by the tokenizers library, as it would the whole text without adding special tokens.
+
+    ``encode_special_tokens`` is the library's switch: if it is set, strings of special tokens are
+    ordinary text; if not, as the library has it by default, they are their tokens. Texts are split at
+    added tokens and by the tokenizer's pattern here, and the library's model encodes each distinct
     match once per Python worker.
     """
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = encode_special_tokens
     model, width = tokenizer.model, id_width(tokenizer.get_vocab_size())
     letters, split = byte_letters(), regex.compile(pattern).findall
     kind = {2: "H", 4: "I"}[width]
+    listed = tokenizer.get_added_tokens_decoder()
+    added = {n: t for n, t in listed.items() if not (encode_special_tokens and t.special)}
+    strict = any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in added.values())
 
     def encoded(match: str) -> bytes:
         tokens = model.tokenize(match.encode().decode("latin-1").translate(letters))
@@ -198,7 +235,15 @@ def load_encoder(path: str, pattern: str) -> StretchEncoder:
     def stretch(text: str) -> bytes:
         return b"".join(map(matches.__getitem__, matches_of(text, split)))
 
-    return StretchEncoder(stretch)
+    def whole(text: str) -> bytes:
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        return pack(f"<{len(ids)}{kind}", *ids)
+
+    encoder = StretchEncoder(stretch)
+    if not added:
+        return encoder
+    ids = {t.content: pack(f"<{kind}", n) for n, t in added.items()}
+    return AddedTokenEncoder(encoder, ids, whole if strict else None)
 
 
 def id_width(vocabulary: int) -> int:
@@ -246,6 +291,7 @@ def write_shards(
     text: str = "text",
     end_id: int = END_ID,
     shard_size: int = SHARD_BYTES,
+    encode_special_tokens: bool = True,
 ) -> list[Stored]:
     """Encodes all documents and writes them to the shared folder in ascending order of their key.
 
@@ -267,7 +313,8 @@ def write_shards(
     ranged = rows.repartitionByRange(-(-size // shard_size) or 1, *order).sortWithinPartitions(*order)
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, task = load_encoder(tokenizer, pattern), TaskContext.get().partitionId()
+        encoder = load_encoder(tokenizer, pattern, encode_special_tokens)
+        task = TaskContext.get().partitionId()
         store, _ = pafs.FileSystem.from_uri(folder)
         end = np.array([end_id], f"<u{width}").tobytes()
         parts: list[bytes] = []
