@@ -99,3 +99,65 @@ def test_odd_pages(spark):
     assert found[5] == f"{SENTENCE} {SENTENCE} no markup"
     assert found[7] == f"a<b\n{SENTENCE}"
     assert extracted(df.limit(0)).collect() == []
+
+
+ARTICLE = f"<h1>Title</h1><p>{SENTENCE}</p><p>{SENTENCE}</p>"
+LONG_TEXT = " ".join([SENTENCE] * 8)
+
+
+@pytest.mark.parametrize(
+    "start",
+    [
+        '<article class="post comments-open">',
+        '<article class="post tags-news" id="login">',
+        '<main class="content with-sidebar">',
+        '<main id="search" class="widget">',
+        '<div class="article has-sidebar">',
+        '<div class="content sidebar">',
+        '<div id="content" class="noSidebar hidden-footer">',
+        '<article><header class="entry-header">',
+    ],
+)
+def test_names_beside_the_main_text_lose_nothing(start):
+    tags = re.findall(r"<(\w+)", start)
+    end = "".join(f"</{tag}>" for tag in reversed(tags))
+    want = f"Title\n{SENTENCE}\n{SENTENCE}"
+    assert main_text(f"<body>{start}{ARTICLE}{end}<footer><p>{SENTENCE}</p></footer>") == want
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        f'<section id="legal-background"><h2>Law</h2><p>{SENTENCE}</p></section>',
+        f'<div class="related-work"><h2>Law</h2><p>{SENTENCE}</p></div>',
+        f'<h2 id="search">Law</h2><p>{SENTENCE}</p>',
+        f'<h2><span id="Legal">Law</span></h2><p>{SENTENCE}</p>',
+    ],
+)
+def test_parts_of_an_article_stay_whatever_their_names(part):
+    want = f"Title\n{SENTENCE}\n{SENTENCE}\nLaw\n{SENTENCE}"
+    assert main_text(f"<body><article>{ARTICLE}{part}</article>") == want
+
+
+@pytest.mark.parametrize("name", ["notice", "widget", "legal", "sidebar"])
+def test_long_text_outweighs_a_name(name):
+    for page in ("<body><article>{}{}</article>", "<body>{}{}"):
+        part = f'<div class="{name}"><p>{LONG_TEXT}</p><p>{LONG_TEXT}</p></div>'
+        assert main_text(page.format(ARTICLE, part)).count(LONG_TEXT) == 2
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        f'<article class="comment even" id="comment-12"><p>{SENTENCE}</p></article>',
+        f'<article class="reply"><p>{SENTENCE}</p></article>',
+        f'<div class="post-comments"><p>{SENTENCE}</p></div>',
+        f'<div class="site-footer"><p>{SENTENCE}</p></div>',
+        f'<ul class="related-posts"><li><a href="/">{SENTENCE}</a></li></ul>',
+        f'<div class="main-menu"><a href="/">{SENTENCE}</a></div>',
+    ],
+)
+def test_named_boilerplate_goes(part):
+    want = f"Title\n{SENTENCE}\n{SENTENCE}"
+    assert main_text(f"<body><article>{ARTICLE}</article>{part}") == want
+    assert main_text(f"<body><article>{ARTICLE}{part}</article>") == want

@@ -59,10 +59,28 @@ ASIDE_WORDS = frozenset(
 )
 MAIN = frozenset("article main".split())
 MAIN_WORDS = frozenset("article content entry main post story".split())
+COMMENT_WORDS = frozenset("comment comments replies reply".split())
+MENU_WORDS = frozenset("menu nav navbar navigation pager pagination".split())
+#: words by which a name tells what is beside or in a state, not what the element holds
+MODIFIERS = frozenset(
+    "active allow allowed can close closed collapsed disabled enabled fixed full has hide is loaded "
+    "no not off on open opened show sticky toggled visible with without".split()
+)
+#: words after an aside word that leave its meaning as it is
+FILLERS = frozenset(
+    "area bar block body bottom box button buttons column container group holder icon icons inner item "
+    "items left link links list panel posts primary region right secondary section slot small top unit "
+    "wrap wrapper".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
-#: weights of the classifier, in log-odds
+#: weights of the classifier, in log-odds; NAMED is for elements that only a name sets aside, HINTED
+#: is added where a name has an aside word beside others
 IN_ASIDE, IN_MAIN, ELSEWHERE = -9.0, 4.0, -0.5
+NAMED, HINTED = -4.5, -2.0
 LINKED, LONG, SENTENCE, PARAGRAPH, ITEM = -4.0, 1.5, 0.75, 0.5, -0.5
+#: for the characters from 200 to 600 of a block
+LONGER = 3.0
 #: smoothness: neighbours in the page, a block and its element, an element and the one around it
 NEXT, HELD, AROUND = 0.75, 0.75, 0.5
 #: capacities are whole numbers, so that a cut is the same everywhere
@@ -95,6 +113,32 @@ class Page:
     around: list[int] = field(default_factory=list)
 
 
+def meanings(names: list[str]) -> set[str]:
+    """What names of an element say it holds: "main", "aside", "comment", or "hint".
+
+    The last word that is no filler decides: related-work is about work, site-footer is a footer. An
+    aside word before others, or beside a word for main text (entry-header, but not main-menu), is a
+    hint only.
+    """
+    found = set()
+    for name in names:
+        words = [w.lower() for w in _WORDS.findall(name)]
+        if not MODIFIERS.isdisjoint(words):
+            continue
+        if ASIDE_WORDS.isdisjoint(words):
+            found |= {"main"} if not MAIN_WORDS.isdisjoint(words) else set()
+            continue
+        while words[-1] in FILLERS and words[-1] not in ASIDE_WORDS:
+            words.pop()
+        if words[-1] in COMMENT_WORDS:
+            found.add("comment")
+        elif words[-1] in MENU_WORDS or (words[-1] in ASIDE_WORDS and MAIN_WORDS.isdisjoint(words)):
+            found.add("aside")
+        else:
+            found.add("hint")
+    return found
+
+
 class PageReader(HTMLParser):
     """Blocks of a page with the elements that hold them."""
 
@@ -110,26 +154,37 @@ class PageReader(HTMLParser):
     def standing(self, tag: str, attrs: list[tuple[str, str | None]]) -> float:
         """What a block in this element may be, as far as the elements around it tell.
 
-        An article ends what words around it said, but not what elements such as nav said.
+        An article ends what words around it said, but not what elements such as nav said. Names set no
+        article, main element or element named for main text aside, but an article named a comment;
+        elsewhere they are a weight, which long text outweighs.
         """
         outer = self.open[-1].standing
         if tag in ("html", "body") or (outer == IN_ASIDE and tag not in MAIN):
             return outer
-        named: set[str] = set()
+        names: list[str] = []
         concealed = False
         for name, value in attrs:
-            if name in ("class", "id", "role") and value:
-                named.update(w.lower() for w in _WORDS.findall(value))
+            if name in ("class", "role") and value:
+                names += value.split()
+            elif name == "id" and value and tag in BLOCKS and tag not in HEADINGS:
+                names += value.split()  # those of headings and inside text are places to link to
             elif name == "hidden" or (name == "aria-hidden" and value == "true"):
                 concealed = True
             elif name == "style" and value and "display:none" in value.replace(" ", "").lower():
                 concealed = True
+        meant = meanings(names)
         in_main = any(e.tag in MAIN for e in self.open)
-        if concealed or tag in ASIDE or (tag == "header" and not in_main) or named & ASIDE_WORDS:
+        if concealed or tag in ASIDE or (tag == "header" and not in_main):
             return IN_ASIDE
         if tag in MAIN:
+            if tag == "article" and "comment" in meant:
+                return IN_ASIDE
             return outer if any(e.tag in ASIDE for e in self.open) else IN_MAIN
-        return IN_MAIN if named & MAIN_WORDS else outer
+        if outer == NAMED or "main" in meant:
+            return outer if outer == NAMED else IN_MAIN
+        if "aside" in meant or "comment" in meant:
+            return NAMED
+        return outer + HINTED if "hint" in meant and outer in (IN_MAIN, ELSEWHERE) else outer
 
     def flush(self) -> None:
         text = " ".join("".join(self.words).split())
@@ -211,7 +266,7 @@ def score(block: Block) -> float:
     found = block.standing
     size = len(block.text)
     found += LINKED * min(1.0, block.linked / size)
-    found += LONG * min(1.0, size / 200)
+    found += LONG * min(1.0, size / 200) + LONGER * min(1.0, max(0, size - 200) / 400)
     found += SENTENCE * (block.text[-1] in ".!?…。")
     found += PARAGRAPH * (block.tag in ("p", "pre", "blockquote")) + ITEM * (block.tag == "li")
     return found
