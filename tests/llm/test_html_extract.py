@@ -161,3 +161,41 @@ def test_named_boilerplate_goes(part):
     want = f"Title\n{SENTENCE}\n{SENTENCE}"
     assert main_text(f"<body><article>{ARTICLE}</article>{part}") == want
     assert main_text(f"<body><article>{ARTICLE}{part}</article>") == want
+
+
+@pytest.mark.parametrize(
+    "head",
+    [
+        "<html><head><title>T</title><body>",
+        "<html><head><title>T</title>",
+        "<head><meta charset=utf-8><link rel=x><style>p{}</style><script>var a;</script><body>",
+        "<head><noscript><style>p{}</style></noscript><title>T</title>\n<body>",
+        "<head><noscript><img src=x></noscript><title>T</title></head><body>",
+        "<head><template><p>no</p></template><title>T</title><body>",
+        "<html><body><head><title>T</title>",
+        "<HTML><HEAD><TITLE>T</TITLE><BODY>",
+    ],
+)
+def test_head_may_be_left_open(head):
+    assert main_text(f"{head}<article>{ARTICLE}</article>") == f"Title\n{SENTENCE}\n{SENTENCE}"
+    assert main_text(f"{head}{ARTICLE}") == f"Title\n{SENTENCE}\n{SENTENCE}"
+
+
+def test_text_ends_an_open_head():
+    assert main_text(f"<head><title>T</title>{SENTENCE}<p>{SENTENCE}") == f"{SENTENCE}\n{SENTENCE}"
+    assert main_text(f"<head><title>T</title></head><p>{SENTENCE}") == SENTENCE
+
+
+def test_formulas_and_fallback_texts_stay_in_an_article():
+    formula = (
+        "<math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn><mspace/></mrow>"
+        '<annotation encoding="application/x-tex">x=2</annotation></semantics></math>'
+    )
+    page = "<article><h1>Title</h1><p>We have {} here. {}</p>{}</article>"
+    assert main_text(page.format(formula, SENTENCE, "")) == f"Title\nWe have x=2 here. {SENTENCE}"
+    for tag in ("noscript", "object"):
+        part = f"<{tag}><p>{SENTENCE}</p></{tag}>"
+        want = f"Title\nWe have it here. {SENTENCE}\n{SENTENCE}"
+        assert main_text(page.format("it", SENTENCE, part)) == want
+        want = f"Title\n{SENTENCE}\n{SENTENCE}"
+        assert main_text(f"<{tag}>Please enable it.</{tag}><article>{ARTICLE}</article>") == want

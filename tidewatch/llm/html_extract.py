@@ -8,10 +8,12 @@ around them. The minimum cut separates content from boilerplate; the content blo
 
 Character references are decoded, white space inside a block becomes one space, blocks are trimmed,
 empty ones left out, and the others joined in page order by one line feed. A line break inside a block is
-white space. Text of scripts, styles, the page head and form controls is no block at all. A null
+white space. Text of scripts, styles, the page head and form controls is no block at all; formulas are text,
+without their annotations, and so is what noscript and object elements hold. A null
 page counts as empty; a page without content gives an empty text; pages may repeat, each row gets its
 result; an empty table gives an empty result. Broken markup is read as browsers do in the usual cases:
-unclosed paragraphs, items and cells end where the next one begins, unmatched end tags are ignored.
+unclosed paragraphs, items and cells end where the next one begins, an unclosed head where something
+begins that cannot stand in it, unmatched end tags are ignored.
 """
 
 from __future__ import annotations
@@ -35,9 +37,16 @@ VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
 SILENT = frozenset(
-    "applet audio button canvas datalist head iframe map math noscript object optgroup option "
+    "annotation annotation-xml applet audio button canvas datalist head iframe map optgroup option "
     "script select style svg template textarea title video".split()
 )
+#: elements that leave an open head open, and those of them whose contents do, too
+IN_HEAD = frozenset(
+    "base basefont bgsound head html link meta noframes noscript script style template title".split()
+)
+HEAD_TEXT = frozenset("noframes script style template title".split())
+#: elements whose text stands in for what a browser may show instead
+FALLBACK = frozenset("noscript object".split())
 #: an element that ends where one of its like begins, up to the element that holds them
 ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -184,7 +193,8 @@ class PageReader(HTMLParser):
             return outer if outer == NAMED else IN_MAIN
         if "aside" in meant or "comment" in meant:
             return NAMED
-        return outer + HINTED if "hint" in meant and outer in (IN_MAIN, ELSEWHERE) else outer
+        hinted = "hint" in meant or tag in FALLBACK
+        return outer + HINTED if hinted and outer in (IN_MAIN, ELSEWHERE) else outer
 
     def flush(self) -> None:
         text = " ".join("".join(self.words).split())
@@ -212,7 +222,20 @@ class PageReader(HTMLParser):
                 self.close_from(place)
                 return
 
+    def end_head(self) -> None:
+        """Closes an open head, as what begins cannot stand in it, unless within a title or the like."""
+        for place in range(len(self.open) - 1, 0, -1):
+            if self.open[place].tag in HEAD_TEXT:
+                return
+            if self.open[place].tag == "head":
+                self.close_from(place)
+                return
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag == "head" and any(e.tag not in ("", "html") for e in self.open):
+            return  # a head begins before all else
+        if tag not in IN_HEAD:
+            self.end_head()
         if tag == "br":
             self.words.append(" ")
         if tag in BLOCKS:
@@ -249,6 +272,8 @@ class PageReader(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if self.open[-1].tag == "head" and data.strip():
+            self.end_head()
         if not self.silent:
             self.words.append(data)
             if self.links:
