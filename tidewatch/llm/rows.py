@@ -35,8 +35,9 @@ def without(
 ) -> DataFrame:
     """``docs`` without the rows whose key is in ``removed``, and each in ``repeated`` once.
 
-    Both have one column, key, and are stored or cheap. Their Bloom filter is broadcast (64 MB at most,
-    see bloom.py); rows that it does not hold stay where they are, only the others shuffle.
+    Both have one column, key, and are stored or cheap. All other rows stay as often as they occur.
+    Their Bloom filter is broadcast (64 MB at most, see bloom.py); rows that it does not hold stay
+    where they are, only the others shuffle.
     """
     columns = docs.columns
     key, flag = fresh(docs, "__row_key"), fresh(docs, "__listed")
@@ -45,14 +46,17 @@ def without(
     rows = passes(
         docs.withColumn(key, row_key(id, text)), key, member_filter(listed, "key", bits), bits, flag
     )
+    moving = rows.filter(flag)
+
+    def keys(of: DataFrame) -> DataFrame:
+        return of.select(F.col("key").alias(key)).distinct()
+
     staying = rows.filter(~F.col(flag)).select(*columns)
-    gone = removed.select(F.col("key").alias(key)).distinct()
-    others = F.xxhash64(*columns)
-    moving = (
-        rows.filter(flag)
-        .join(gone, key, "left_anti")
-        .groupBy(key)
-        .agg(F.min_by(F.struct(*columns), others).alias(flag))
-        .select(f"{flag}.*")
-    )
-    return staying.unionByName(moving)
+    by_chance = moving.join(keys(listed), key, "left_anti").select(*columns)
+    kept = staying.unionByName(by_chance)
+    if repeated is None:
+        return kept
+    # grouped before the joins, so that rows with one key are combined before they shuffle
+    once = moving.groupBy(key).agg(F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias(flag))
+    once = once.join(keys(repeated), key, "left_semi").join(keys(removed), key, "left_anti")
+    return kept.unionByName(once.select(f"{flag}.*"))
