@@ -1,0 +1,132 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm.cases import multiset, rows_of
+from tidewatch.llm import hard_negatives as hn
+
+EXTRA = ["number", "leaf", "tile", "id", "tie", "window", "low", "Label_"]
+
+
+def vectors(spark, rows, extra=()):
+    names = "".join(f", `{c}` string" for c in extra)
+    data = [(*r, *extra) for r in rows]
+    return spark.createDataFrame(data, f"vec_id long, label int, embedding array<float>{names}").repartition(3)
+
+
+def usable(rows):
+    seen = []
+    for id, label, v in rows:
+        if label is None or v is None or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        row = (id, label, tuple(math.floor(256 * float(np.float32(x))) for x in v))
+        if sum(x * x for x in row[2]) < 2**62 and row not in seen:
+            seen.append(row)
+    return seen
+
+
+def expected(rows, every=10, positives=5, negatives=10):
+    rows = usable(rows)
+
+    def order(pair):
+        return (-pair[0], math.inf if pair[1][0] is None else pair[1][0])
+
+    found = []
+    for anchor in rows:
+        if anchor[0] is None or anchor[0] % every:
+            continue
+        scored = [
+            (sum(a * b for a, b in zip(anchor[2], r[2], strict=False)), r) for r in rows if r is not anchor
+        ]
+        near = sorted((s for s in scored if s[1][1] == anchor[1]), key=order)[:positives]
+        for p, positive in near:
+            inside = [
+                s for s in scored if s[1][1] != anchor[1] and 30 * p <= 100 * s[0] and 100 * s[0] <= 90 * p
+            ]
+            for rank, (score, r) in enumerate(sorted(inside, key=order)[:negatives], 1):
+                found.append((anchor[0], positive[0], rank, r[0], p, score))
+    return found
+
+
+def got(df, every=10, **options):
+    return rows_of(hn.hard_negatives(hn.whole_vectors(df), F.col("id") % every == 0, **options))
+
+
+def clustered(seed, count=400, width=6):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(12, width))
+    rows = centres[rng.integers(0, 12, count)] + 0.2 * rng.normal(size=(count, width))
+    labels = rng.integers(0, 4, count)
+    return [(n, int(labels[n]), [float(x) for x in rows[n]]) for n in range(count)]
+
+
+@pytest.mark.parametrize(
+    "options", [{}, {"sample": 60, "leaf": 8, "fan": 3, "tile": 16}, {"sample": 1}, {"tile": 1, "sample": 40}]
+)
+def test_against_brute_force(spark, options):
+    rows = clustered(1)
+    assert multiset(got(vectors(spark, rows), **options)) == multiset(expected(rows))
+
+
+def test_odd_rows(spark):
+    rng = random.Random(3)
+    rows = clustered(2, 120)
+    rows += [(1000 + n, n % 3, [0.5, 0.25, 0.0, -0.5, 1.0, 2.0]) for n in range(60)]  # ties
+    rows += [(1000, 0, [0.5, 0.25, 0.0, -0.5, 1.0, 2.0])] * 3  # repeated
+    rows += [(2000, None, [1.0]), (2010, 1, None), (2020, 1, [1.0, None]), (2030, 1, [math.nan])]
+    rows += [(2040, 1, [math.inf]), (2050, 2, []), (2060, 2, [1.0, 2.0]), (2070, 1, [3e30])]
+    rows += [(None, 1, [rng.random() for _ in range(6)]), (None, 2, [1.0] * 6), (2080, 0, [0.0] * 6)]
+    rows += [(2090, 0, [-1.0] * 6), (2100, 3, [40_000_000.0, 0.5, 0.25]), (2110, 3, [40_000_000.0, 1.0])]
+    df = vectors(spark, rows, EXTRA)
+    want = multiset(expected(rows))
+    assert multiset(got(df)) == want
+    assert multiset(got(df, sample=30, leaf=4, fan=3, tile=8)) == want
+
+
+@pytest.mark.parametrize("rows", [[], [(1, 1, [0.5])], [(0, 1, [0.5])], [(0, None, None)]])
+def test_few_rows(spark, rows):
+    found = hn.hard_negatives(hn.whole_vectors(vectors(spark, rows)), F.col("id") % 10 == 0)
+    assert found.collect() == []
+    assert found.columns == [
+        *("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+    ]
+
+
+def test_one_vector_for_most_rows(spark):
+    rows = clustered(4, 100)
+    rows += [(1000 + n, n % 2, [1.0, 0.5, -0.5, 0.25, 0.0, 1.0]) for n in range(900)]
+    assert multiset(got(vectors(spark, rows), every=50, tile=32)) == multiset(expected(rows, every=50))
+
+
+def test_the_tree_leaves_siblings_out(spark):
+    """Of well separated groups an anchor sees few leaves, and no row of its window is in another."""
+    rows = clustered(5, 600)
+    table = hn.write_once(hn.whole_vectors(vectors(spark, rows)))
+    tree = hn.sampled_tree(table, 256, 4, 12)
+    tiles = hn.write_once(hn.tiled(table, tree, 16))
+    ranges = hn.Ranges(tree, tiles)
+    whole = np.array([r[2] for r in usable(rows)], np.int64)
+    leaves = tree.leaf_of(whole)
+    assert tiles.agg(F.sum("rows")).first()[0] == len(rows)
+    anchors = whole[::10]
+    scores = hn.products(anchors, whole)
+    low = np.sort(scores, 1)[:, -20]
+    high = np.sort(scores, 1)[:, -5]
+    seen = np.zeros((len(anchors), tree.leaves), bool)
+    for leaf, some in hn.surviving(tree, ranges, anchors, np.arange(len(anchors)), low, high):
+        seen[some, leaf] = True
+    inside = (scores >= low[:, None]) & (scores <= high[:, None])
+    for anchor, row in zip(*np.nonzero(inside), strict=True):
+        assert seen[anchor, leaves[row]]
+    assert seen.mean() < 0.5
+
+
+def test_split_points_and_exact_products():
+    rows = np.array([[0, 0], [10, 0], [0, 9], [1, 1], [10, 0]])
+    assert hn.split_points(rows, 3).tolist() == [[10, 0], [0, 9], [0, 0]]
+    assert len(hn.split_points(np.ones((5, 2), np.int64), 3)) == 1
+    big = np.array([[2**30, 3], [2**30, -3]])
+    assert hn.products(big, big).tolist() == [[2**60 + 9, 2**60 - 9], [2**60 - 9, 2**60 + 9]]

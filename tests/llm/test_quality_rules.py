@@ -1,0 +1,142 @@
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tests.llm.cases import frame, multiset, plain_words, rows_of, texts
+from tidewatch.llm import quality_rules as qr
+from tidewatch.llm.queries import QUERIES
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def base(text):
+    text = text or ""
+    words = plain_words(text)
+    runs = Counter(zip(words, words[1:], words[2:], strict=False))
+    covered = set()
+    for at in range(len(words) - 2):
+        if runs[tuple(words[at : at + 3])] >= 2:
+            covered.update((at, at + 1, at + 2))
+    lines = [x for x in text.split("\n") if plain_words(x)]
+    failed = len(words) < 50 or 100 * len(covered) > 50 * len(words)
+    counts = (
+        len(words),
+        sum(map(len, words)),
+        len(re.findall(r"[#*$%&|<>]", text)),
+        len(lines) - len(set(lines)),
+        len(covered),
+    )
+    return (*counts, failed)
+
+
+ODD = [
+    *("a b c a b c", "a a a a", "line\nline\n line\n\n\nline", "#*$%&|<> ##", "é É ß ẞ İ i", "\r\n x\r\n x"),
+    *("x y z " * 40, "SHOUT " * 60, "1 2 3\t4 5\x0b6", "one,two;three. Four!"),
+]
+
+
+def test_base_counts(spark):
+    rows = texts() + [(900 + n, t) for n, t in enumerate(ODD)]
+    got = rows_of(qr.rule_report(frame(spark, rows)).drop("kept", "score"))
+    assert multiset(got) == multiset([(i, *base(t)) for i, t in rows])
+
+
+def test_the_query_on_a_table(spark):
+    got = QUERIES["op12_quality_rules"](spark, SF_DIR).toPandas().set_index("doc_id")
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").toPandas()
+    assert len(got) == len(docs) == 1000
+    for id, text in zip(docs["doc_id"], docs["text"], strict=True):
+        row = got.loc[id]
+        assert tuple(row[[*qr.COUNTS[:5], "base_failed"]]) == base(text)
+        assert row["kept"] == (not row["base_failed"] and row["score"] >= 0.5)
+    told = spark.read.parquet(f"{SF_DIR}/labels.parquet").toPandas().merge(got, on="doc_id")
+    told = told[~told["base_failed"].astype(bool)]
+    assert told[told["quality"] == 1]["kept"].mean() > 0.99
+    assert told[told["quality"] == 0]["kept"].mean() < 0.05
+
+
+def plain_estimate(votes, rounds=500):
+    """The same estimation, document by document."""
+    good, bad = (votes == 2).sum(1), (votes == 1).sum(1)
+    p = (good + 0.5) / (good + bad + 1.0)
+    for _ in range(rounds):
+        prior = (p.sum() + 1) / (len(p) + 2)
+        ratio = np.full(len(p), np.log(prior / (1 - prior)))
+        for rule in range(votes.shape[1]):
+            table = {}
+            for kind, weight in (("good", p), ("bad", 1 - p)):
+                seen = [weight[votes[:, rule] == v].sum() + 0.1 for v in (1, 2)]
+                table[kind] = [x / sum(seen) for x in seen]
+            for v in (1, 2):
+                ratio[votes[:, rule] == v] += np.log(table["good"][v - 1] / table["bad"][v - 1])
+        p = 1 / (1 + np.exp(-ratio))
+    return p
+
+
+def test_estimation_against_the_plain_form(spark):
+    """Patterns with counts give what all documents one by one give, and SQL scores what numpy does."""
+    stats = qr.write_once(qr.statistics(spark.read.parquet(f"{SF_DIR}/documents.parquet")))
+    model = qr.fit(stats)
+    got = stats.select(qr.votes().alias("code"), qr.probability(model).alias("score")).toPandas()
+    votes = got["code"].to_numpy()[:, None] // 3 ** np.arange(len(qr.RULES)) % 3
+    assert np.allclose(got["score"], plain_estimate(votes), atol=1e-6)
+
+
+def test_accuracies_are_found():
+    """Votes drawn with known accuracies: the estimates come near them."""
+    rng = np.random.default_rng(5)
+    truth = rng.random(40_000) < 0.7
+    right = np.array([0.95, 0.9, 0.8, 0.7, 0.85])
+    votes = np.where((rng.random((len(truth), 5)) < right) == truth[:, None], 2, 1)
+    votes[rng.random(votes.shape) < 0.3] = 0
+    patterns, counts = np.unique(votes, axis=0, return_counts=True)
+    model = qr.estimate(patterns, counts.astype(float))
+    assert abs(model.prior - 0.7) < 0.03
+    assert np.allclose(model.on_good[:, 2], right, atol=0.03)
+    assert np.allclose(model.on_bad[:, 1], right, atol=0.03)
+    assert (model.on_good[:, 0] == 1).all()
+
+
+def test_junk_goes_and_prose_stays(spark):
+    rng = random.Random(3)
+    syllables = ["ba", "de", "lo", "mi", "ru", "sa", "te", "vo"]
+
+    def words(count):
+        return " ".join("".join(rng.choices(syllables, k=rng.randint(1, 4))) for _ in range(count))
+
+    prose = [(n, ". ".join(f"{words(12)} the of and to" for _ in range(8)) + ".") for n in range(150)]
+    shouted = [(1000 + n, words(90).upper().replace(" ", "!! ")) for n in range(40)]
+    marked = [(2000 + n, words(90).replace(" ", " | ")) for n in range(40)]
+    same = [(3000 + n, "\n".join(["one line that is there again"] * 30)) for n in range(20)]
+    docs = frame(spark, prose + shouted + marked + same)
+    kept = qr.passing_documents(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.select("doc_id").collect()) == list(range(150))
+
+
+@pytest.mark.parametrize("rows", [[], [(None, None)], [(1, "")], [(1, "x" * 3_000_000)]])
+def test_few_rows(spark, rows):
+    got = rows_of(qr.rule_report(frame(spark, rows)).drop("score"))
+    assert got == [(i, *base(t), False) for i, t in rows]
+
+
+def test_windows_of_many_words():
+    rng = np.random.default_rng(1)
+    words = rng.integers(0, 40, 3000)
+    runs = Counter(zip(words, words[1:], words[2:], strict=False))
+    covered = set()
+    for at in range(len(words) - 2):
+        if runs[tuple(words[at : at + 3])] > 1:
+            covered.update((at, at + 1, at + 2))
+    assert qr.repeated_words(words, 40) == len(covered)
+    assert qr.repeated_words(words, 1 << 40) == len(covered)  # numbers too large to be packed
+
+
+def test_a_very_long_text():
+    text = ("one two three four five six seven. " * 60_000).encode()
+    counts = dict(zip(qr.COUNTS, qr.counts_of(text), strict=True))
+    assert counts["n_words"] == counts["n_repeat_words"] == 420_000
+    assert counts["n_distinct"] == 7 and counts["n_lines"] == 1

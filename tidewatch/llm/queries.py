@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewatch.llm.bpe import round_trip
 from tidewatch.llm.decontaminate import contamination
 from tidewatch.llm.exact_dedup import copy_groups
+from tidewatch.llm.hard_negatives import hard_negatives, whole_vectors
 from tidewatch.llm.html_extract import extracted
+from tidewatch.llm.phrases import phrase_report
 from tidewatch.llm.quality import quality_report
+from tidewatch.llm.quality_rules import rule_report
 from tidewatch.llm.secret_scan import secret_report
 from tidewatch.llm.shared import read
 from tidewatch.llm.sharding import shard
@@ -72,6 +76,21 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(read(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = whole_vectors(rows.withColumn("label", moved), scale=256)
+    return hard_negatives(vectors, F.col("id") % 100 == 0, positives=5, negatives=10)
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rule_report(read(spark, sf_dir, "documents"))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_report(read(spark, sf_dir, "documents"), top=2000, least=10, max_words=3)
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_sharding": op2_sharding,
@@ -83,4 +102,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality": op8_quality,
     "op9_decontamination": op9_decontamination,
     "op10_secret_scan": op10_secret_scan,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_quality_rules": op12_quality_rules,
+    "op13_phrases": op13_phrases,
 }
