@@ -196,13 +196,12 @@ def estimate(
 ) -> Accuracies:
     """Expectation-maximisation over vote patterns (a row of digits each) and how often they occur.
 
-    It starts from the share of good votes among a pattern's votes, so that the class for which rules
-    vote good more often is the good one, and ends when no probability moves by more than ``within``.
+    It starts from a soft form of the filter that asks for all rules to pass (0.9 without a bad vote, a
+    third of it for each one), so that the class with few bad votes is the good one, and ends when no probability moves by more than ``within``.
     Where a rule abstains it is left out. ``PRIOR_VOTES`` more votes of each kind than were seen keep
     probabilities off 0 and 1.
     """
-    good, bad = (patterns == GOOD).sum(1), (patterns == BAD).sum(1)
-    chance = (good + 0.5) / (good + bad + 1.0)
+    chance = 0.9 / 3.0 ** (patterns == BAD).sum(1)
     total = counts.sum()
     for _ in range(rounds):
         shares = []
