@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.pieces import Remembered, StretchEncoder, matches_of
+from tidewatch.llm.pieces import StretchEncoder, parts_of
 
 FAN = 9  # a word of the bitmap has 2**FAN bits
 _LOW = (1 << FAN) - 1
@@ -51,16 +51,12 @@ class Bpe:
         self.tokens = [b""] * count
         for token, rank in ranks.items():
             self.tokens[rank] = token
-        self.matches = Remembered(self._packed_match)
-        self.stretches = StretchEncoder(self._packed_stretch)
+        self.stretches = StretchEncoder(self._packed_match, self.split)
 
     def _packed_match(self, match: str) -> bytes:
         ids = self.merge(match.encode())
         return pack(f"<{len(ids)}I", *ids)
 
-    def _packed_stretch(self, stretch: str) -> bytes:
-        return b"".join(map(self.matches.__getitem__, matches_of(stretch, self.split)))
-
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one match of the pattern.
 
@@ -195,19 +191,23 @@ def round_trip(
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path, pattern)
         for batch in batches:
-            counts, ids_sha, text_sha, arrays = [], [], [], []
-            for value in batch["text"]:
-                packed = bpe.encode_packed(value.as_py() or "")
-                numbers = np.frombuffer(packed, "<u4")
-                counts.append(len(numbers))
-                ids_sha.append(hashlib.sha256(packed).hexdigest())
-                text_sha.append(hashlib.sha256(bpe.decode(numbers.tolist())).hexdigest())
-                if with_ids:
-                    arrays.append(numbers.astype(np.int32))
-            columns = [batch["id"], pa.array(counts, pa.int64()), pa.array(ids_sha), pa.array(text_sha)]
+            for part in parts_of(batch, "text"):
+                yield digested(bpe, part)
+
+    def digested(bpe: Bpe, batch: pa.RecordBatch) -> pa.RecordBatch:
+        counts, ids_sha, text_sha, arrays = [], [], [], []
+        for value in batch["text"]:
+            packed = bpe.encode_packed(value.as_py() or "")
+            numbers = np.frombuffer(packed, "<u4")
+            counts.append(len(numbers))
+            ids_sha.append(hashlib.sha256(packed).hexdigest())
+            text_sha.append(hashlib.sha256(bpe.decode(numbers.tolist())).hexdigest())
             if with_ids:
-                columns.append(pa.array(arrays, pa.list_(pa.int32())))
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+                arrays.append(numbers.astype(np.int32))
+        columns = [batch["id"], pa.array(counts, pa.int64()), pa.array(ids_sha), pa.array(text_sha)]
+        if with_ids:
+            columns.append(pa.array(arrays, pa.list_(pa.int32())))
+        return pa.RecordBatch.from_arrays(columns, names=names)
 
     rows = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     schema = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string"

@@ -9,11 +9,16 @@ each distinct stretch is encoded once and remembered.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from itertools import islice
 
-#: stretches remembered by a Python worker, and the longest that is
-REMEMBERED = 1 << 19
+import pyarrow as pa
+
+#: bytes of text whose results are handed on together
+PART_BYTES = 1 << 21
+
+#: stretches remembered by each table of a Python worker, and the longest that is
+REMEMBERED = 1 << 18
 LONGEST = 48
 
 #: \s of this module is wider than that of any tokenizer, so that a cut is safe in all of them
@@ -59,14 +64,43 @@ class Remembered(dict):
 
 
 class StretchEncoder:
-    """Encodes texts stretch by stretch with ``make``, which gives the ids as packed bytes."""
+    """Encodes texts stretch by stretch; ``encode`` gives the ids of one match of ``split`` as bytes.
+
+    A stretch of one match is remembered as such; of others the words are looked up among these and
+    the rest among ``matches``, so each match is encoded and remembered once.
+    """
 
-    def __init__(self, make: Callable[[str], bytes]):
-        self.plain = Remembered(make)
-        self.spaced = Remembered(make, " ")
+    def __init__(self, encode: Callable[[str], bytes], split: Callable[[str], list[str]]):
+        self.encode, self.split = encode, split
+        self.matches = Remembered(encode)
+        self.plain = Remembered(self._stretch)
+        self.spaced = Remembered(self._stretch, " ")
+
+    def _stretch(self, stretch: str) -> bytes:
+        found = matches_of(stretch, self.split)
+        if len(found) == 1:
+            return self.encode(found[0])
+        return b"".join(map(self._match, found))
+
+    def _match(self, match: str) -> bytes:
+        if match[0] == " " and match[1:].isalpha():
+            return self.spaced[match[1:]]
+        return self.matches[match]
 
     def packed(self, text: str) -> bytes:
         if _AFTER_SPACE.search(text):
             return b"".join(map(self.plain.__getitem__, _CUT.split(text)))
         first, *rest = text.split(" ")
         return self.plain[first] + b"".join(map(self.spaced.__getitem__, rest))
+
+
+def parts_of(batch: pa.RecordBatch, text: str, size: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about ``size`` bytes of text, so that few results are held at once."""
+    start = taken = 0
+    for row, value in enumerate(batch[text]):
+        taken += value.as_buffer().size if value.is_valid else 0
+        if taken >= size:
+            yield batch.slice(start, row + 1 - start)
+            start, taken = row + 1, 0
+    if start < batch.num_rows:
+        yield batch.slice(start)

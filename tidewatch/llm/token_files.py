@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm.pieces import Remembered, StretchEncoder, matches_of
+from tidewatch.llm.pieces import StretchEncoder
 from tidewatch.llm.shared import shared_folder, text_of
 
 MAGIC = b"TWTOKEN1"
@@ -226,20 +226,21 @@ def load_encoder(
     added = {n: t for n, t in listed.items() if not (encode_special_tokens and t.special)}
     strict = any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in added.values())
 
-    def encoded(match: str) -> bytes:
-        tokens = model.tokenize(match.encode().decode("latin-1").translate(letters))
-        return pack(f"<{len(tokens)}{kind}", *(t.id for t in tokens))
-
-    matches = Remembered(encoded)
+    space, formats = letters[ord(" ")], [f"<{n}{kind}" for n in range(64)]
 
-    def stretch(text: str) -> bytes:
-        return b"".join(map(matches.__getitem__, matches_of(text, split)))
+    def encoded(match: str) -> bytes:
+        if match[0] == " " and match.isascii() and match[1:].isalpha():
+            written = space + match[1:]
+        else:
+            written = match.encode().decode("latin-1").translate(letters)
+        ids = [t.id for t in model.tokenize(written)]
+        return pack(formats[len(ids)] if len(ids) < 64 else f"<{len(ids)}{kind}", *ids)
 
     def whole(text: str) -> bytes:
         ids = tokenizer.encode(text, add_special_tokens=False).ids
         return pack(f"<{len(ids)}{kind}", *ids)
 
-    encoder = StretchEncoder(stretch)
+    encoder = StretchEncoder(encoded, split)
     if not added:
         return encoder
     ids = {t.content: pack(f"<{kind}", n) for n, t in added.items()}
