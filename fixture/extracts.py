@@ -136,6 +136,18 @@ select * from (values ('r', 'returns', 'Returns', 1), ('a', 'returns', 'Returns'
 """,
 }
 
+# tickets as texts, some of which are not of their column's type
+TEXTS = """
+select case when ticket_id % 50 = 7 then concat('no. ', cast(ticket_id as varchar(20)))
+            else cast(ticket_id as varchar(20)) end as ticket_id,
+       requester_email,
+       case when ticket_id % 40 = 3 then 'yesterday' when ticket_id % 40 = 4 then ' '
+            else cast(cast(created_at as date) as varchar(20)) end as created_on,
+       case when ticket_id % 30 = 11 then '12 or so' else concat(' ', cast(ticket_id % 90 as varchar(9)), ' ')
+            end as minutes
+from {raw_tickets}
+"""
+
 
 class _Lazy(dict):
     """Raw extracts that are planned when first asked for."""

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 
-from fixture.extracts import AS_OF, BASE_TABLES, SQL
+from fixture.extracts import AS_OF, BASE_TABLES, SQL, TEXTS
 from tidewatch.plans.quality import RULES
 
 TODAY = f"date '{AS_OF}'"
@@ -248,6 +248,17 @@ select partner_id, count(*) as closes, avg(tickets_in_window) as mean,
        min(tickets_in_window) as least, max(tickets_in_window) as most,
        avg(tickets_high_urgent) as urgent_mean
 from near where close_status = 'completed' group by partner_id""",
+    "merged": """
+select * exclude (resolved_at),
+       case when created_at >= day or resolved_at <= timestamp '1999-06-30' then resolved_at end
+         as resolved_at
+from fact, (select max(cast(created_at as date)) - 3 as day from fact
+            where created_at <= timestamp '1999-06-30') as cut""",
+    "texts": """
+select *, try_cast(ticket_id as bigint) is null as odd_id,
+       trim(created_on) <> '' and try_cast(created_on as date) is null as odd_date,
+       trim(minutes) <> '' and try_cast(minutes as integer) is null as odd_minutes
+from (""" + TEXTS.format(raw_tickets="raw_tickets") + ")",
     "live": "select * from rich_k where is_upcoming and not is_stale_upcoming",
     "forecast": """
 select close_id, fund_id, fund_name, close_number, live.partner_id, partner_name, partner_type,
@@ -335,6 +346,54 @@ from fact, (select max(cast(created_at as date)) - 3 as day from fact
             where created_at <= timestamp '1999-06-30') as cut""",
     "schema_sync": """
 select ticket_id, partner_id, created_at, cast(null as varchar) as channel from fact""",
+    "kept_team_weekly": """
+select week_start, coalesce(created, 0) as tickets_created, coalesce(urgent, 0) as tickets_high_urgent,
+       coalesce(resolved, 0) as tickets_resolved, coalesce(closes, 0) as closes_scheduled,
+       coalesce(completed, 0) as closes_completed, coalesce(upcoming, 0) as closes_upcoming,
+       coalesce(aum, 0) as committed_aum_closing_gbp
+from (select created_week as week_start, count(*) as created,
+             count(case when priority in ('high', 'urgent') then 1 end) as urgent
+      from merged group by all) as a
+full join (select cast(date_trunc('week', resolved_at) as date) as week_start, count(*) as resolved
+           from merged where resolved_at is not null group by all) as b using (week_start)
+full join (select close_week as week_start, count(*) as closes,
+                  count(case when close_status = 'completed' then 1 end) as completed,
+                  count(case when close_status = 'upcoming' then 1 end) as upcoming,
+                  cast(sum(total_committed_aum_gbp) as bigint) as aum
+           from rich_k where close_week is not null group by all) as c using (week_start)
+union all
+select null, 0, 0, 0, 0, 0, 0, 0
+where (select count(*) from rich_k where close_week is null) > 0""",
+    "kept_partner_weekly": _whole("per_partner_week"),
+    "kept_themes": _whole("themed"),
+    "kept_health": _whole("health"),
+    "lenient_good": """
+select try_cast(ticket_id as bigint) as ticket_id, requester_email,
+       try_cast(nullif(trim(created_on), '') as date) as created_on,
+       try_cast(nullif(trim(minutes), '') as integer) as minutes
+from texts where not odd_id and not odd_date and not odd_minutes""",
+    "lenient_quarantine": """
+select 'ticket_id' as column_name, ticket_id as value, 'not a bigint' as reason from texts where odd_id
+union all
+select 'created_on', created_on, 'not a date' from texts where odd_date
+union all
+select 'minutes', minutes, 'not a int' from texts where odd_minutes""",
+    "weekly_from_stream": """
+select week_start, event_type, count(*) as events
+from (select cast(date_trunc('week', ts) as date) as week_start, event_type from events) as weeks
+where week_start + interval 7 day <= (select max(ts) from events) - interval 3 day
+group by week_start, event_type""",
+    "tags_by_sql": """
+select cast(date_trunc('week', created_at) as date) as week_start,
+       cast(date_trunc('month', created_at) as date) as month_start,
+       lower(trim(piece)) as tag, count(*) as pieces,
+       round(sum(date_diff('microsecond', created_at, resolved_at) / 3.6e9), 3) as hours,
+       cast(min(cast(created_at as date)) + interval 14 day as date) as due,
+       cast(max(cast(created_at as date)) - interval 3 day as date) as since,
+       count(resolved_at) as resolved,
+       round(100.0 * count(resolved_at) / count(*), 2) as resolved_pct
+from (select *, unnest(string_split(tags, ',')) as piece from raw_tickets)
+group by all""",
     "check_unique": "select email, count(*) as n from i group by email having n > 1",
     "check_not_null": "select * from rich_i where created_at is null",
     "check_accepted": """
@@ -496,6 +555,20 @@ select '{check}' as check_name, '{table}' as table_name, '{column}' as column_na
 
 QUERIES["check_report"] = " union all ".join(_check_lines())
 
+_PUBLISHED = {n: _CHECKED[n] for n in _CHECKED if n.startswith(("dim_", "fct_", "mart_"))}
+_PUBLISHED |= {
+    "fct_ticket_tags": "tag",
+    "mart_partner_pressure_weekly": "per_partner_week",
+    "mart_theme_ticket_summary": "themed",
+}
+QUERIES["released_tables"] = " union all ".join(
+    [
+        f"select '{name}' as table_name, count(*) as row_count from {source}"
+        for name, source in _PUBLISHED.items()
+    ]
+    + [f"select 'data_checks' as table_name, {len(_check_lines())}::bigint as row_count"]
+)
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: statement(query.strip()) for name, query in QUERIES.items()}

@@ -4,19 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fixture.extracts import base_table, warehouse
+from fixture.extracts import BASE_SCHEMAS, TEXTS, base_table, warehouse
 from tidewatch import Warehouse
 from tidewatch.functions import hours_between, month_start, week_start
 from tidewatch.operators import checks
 from tidewatch.operators.incremental import lookback_filter, merge_by_key, sync_schema
 from tidewatch.operators.profile import close_order_anomalies, profile
 from tidewatch.operators.synonyms import build_synonyms, distinctive_keywords
-from tidewatch.plans import analyst
+from tidewatch.plans import analyst, kept_marts, sql_functions
+from tidewatch.sources import Releases, lenient, shared_folder
+from tidewatch.streaming.weekly import closed_weeks, count_weeks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,6 +55,83 @@ def incremental_merge(model: Warehouse) -> DataFrame:
     return merge_by_key(loaded, batch.ticket_fact.select(*MERGED), "ticket_id")
 
 
+def kept(mart: str) -> Callable[[Warehouse], DataFrame]:
+    """A mart that followed the merge of ``incremental_merge``, from its state before and the change log."""
+
+    def followed(model: Warehouse) -> DataFrame:
+        until = F.lit(LOADED_UNTIL).cast("timestamp_ntz")
+        known = F.col("resolved_at") <= until
+        fact = model.ticket_fact.filter(F.col("created_at") <= until).withColumns(
+            {
+                "resolved_at": F.when(known, F.col("resolved_at")),
+                "is_resolved": F.coalesce(known, F.lit(False)),
+                "resolution_hours": F.when(known, F.col("resolution_hours")),
+            }
+        )
+        bridge = model.ticket_tags.filter(F.col("created_at") <= until)
+        days = model.tickets.filter(F.col("created_at") <= until).select("created_at")
+        recent = lookback_filter(model.tickets, days, "created_at", model.settings.lookback_days)
+        new = Warehouse(model.raw, model.settings)
+        new.tickets = recent
+        loaded = {kept_marts.FACT: fact, kept_marts.BRIDGE: bridge}
+        batch = {kept_marts.FACT: new.ticket_fact, kept_marts.BRIDGE: new.ticket_tags}
+        return kept_marts.marts_of(kept_marts.states_after(model, loaded, batch), model)[mart]
+
+    return followed
+
+
+def released(model: Warehouse) -> DataFrame:
+    """Rows of every table that readers see after a release, with the release's own report."""
+    spark = model.raw["tickets"].sparkSession
+    root = f"{shared_folder(spark)}/releases-{uuid4().hex}"
+    model.release(root, blocking=())  # these extracts share addresses, which is an error
+    counts = [
+        df.agg(F.lit(name).alias("table_name"), F.count("*").alias("row_count"))
+        for name, df in sorted(Releases(spark, root).tables().items())
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+TYPED = "ticket_id bigint not null, requester_email string, created_on date, minutes int"
+
+
+def lenient_load(model: Warehouse) -> lenient.Loaded:
+    spark = model.raw["tickets"].sparkSession
+    texts = spark.sql(TEXTS, raw_tickets=model.raw["tickets"])
+    return lenient.load(texts, T.StructType.fromDDL(TYPED), max_bad_share=0.2)
+
+
+def weekly_from_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per closed week and kind, counted by a stream that has come to the end of the table."""
+    events = spark.readStream.schema(BASE_SCHEMAS["events"]).parquet(f"{sf_dir}/events.parquet*")
+    folder = f"{shared_folder(spark)}/weeks-{uuid4().hex}"
+    count_weeks(
+        closed_weeks(events, "ts", by=("event_type",), delay="3 days"),
+        f"{folder}/rows", f"{folder}/checkpoint",
+    ).awaitTermination()
+    return spark.read.parquet(f"{folder}/rows").withColumnRenamed("rows", "events")
+
+
+def tags_by_sql(model: Warehouse) -> DataFrame:
+    """The session's SQL functions in one statement on the registered tables."""
+    spark = model.raw["tickets"].sparkSession
+    sql_functions.register(spark)
+    return spark.sql(
+        """
+        select week_start(created_at) as week_start, month_start(created_at) as month_start,
+               norm_key(piece) as tag, count(*) as pieces,
+               round(sum(datediff_hours(created_at, resolved_at)), 3) as hours,
+               min(date_add_days(created_on, 14)) as due, max(date_sub_days(created_on, 3)) as since,
+               cast_int64(count(resolved_at)) as resolved,
+               rate_pct(count(resolved_at), count(*)) as resolved_pct
+        from (select *, cast(created_at as date) as created_on from {tickets}) as t,
+             lateral unnest_split(tags, ',')
+        group by all
+        """,
+        tickets=model.raw["tickets"],
+    )
+
+
 def schema_sync(model: Warehouse) -> DataFrame:
     wanted = T.StructType(
         [
@@ -122,6 +203,15 @@ QUERIES: dict[str, Query] = {
     "attribution_health": _on(lambda w: w.attribution_health),
     "incremental_merge": _on(incremental_merge),
     "schema_sync": _on(schema_sync),
+    "kept_team_weekly": _on(kept("mart_is_pressure_weekly")),
+    "kept_partner_weekly": _on(kept("mart_partner_pressure_weekly")),
+    "kept_themes": _on(kept("mart_theme_ticket_summary")),
+    "kept_health": _on(kept("mart_attribution_health")),
+    "released_tables": _on(released),
+    "lenient_good": _on(lambda w: lenient_load(w).good),
+    "lenient_quarantine": _on(lambda w: lenient_load(w).quarantine.drop("row_id")),
+    "weekly_from_stream": weekly_from_stream,
+    "tags_by_sql": _on(tags_by_sql),
     "check_unique": _on(lambda w: checks.unique(w.investors, "email")),
     "check_not_null": _on(lambda w: checks.not_null(w.dim_investor, "created_at")),
     "check_accepted": _on(

@@ -1,0 +1,74 @@
+"""The model's expressions in SQL: same values, and nothing left of the calls in the plan."""
+
+import pytest
+from helpers import at, model, records
+
+from tidewatch.functions import hours_between, month_start, norm_key, pct, week_start
+from tidewatch.plans import sql_functions
+
+TICKETS = [
+    {"ticket_id": 1, "created_at": at("2024-03-06T10:00"), "resolved_at": at("2024-03-08T11:30"),
+     "tags": "A, b.,c", "partner_label": " One "},
+    {"ticket_id": 2, "created_at": at("2024-03-10T23:59"), "tags": "", "requester_email": "X@y.com "},
+    {"ticket_id": 3, "created_at": None, "tags": None},
+]
+
+
+@pytest.fixture
+def built(spark):
+    built = model(spark, tickets=TICKETS)
+    built.register_views()
+    built.register_functions()
+    return built
+
+
+def test_values_are_those_of_the_columns(spark, built):
+    got = spark.sql(
+        "select ticket_id, week_start(created_at) as a, month_start(created_at) as b, "
+        "datediff_hours(created_at, resolved_at) as c, norm_key(partner_label) as d, "
+        "rate_pct(ticket_id, 3) as e, date_add_days(created_date, 14) as f, "
+        "date_sub_days(created_date, 14) as g, cast_int64('7') as h from fct_tickets"
+    )
+    want = built.ticket_fact.selectExpr(
+        "*", "date_add(created_date, 14) as f", "date_sub(created_date, 14) as g", "7L as h", "3 as three"
+    ).select(
+        "ticket_id", week_start("created_at").alias("a"), month_start("created_at").alias("b"),
+        hours_between("created_at", "resolved_at").alias("c"), norm_key("partner_label").alias("d"),
+        pct("ticket_id", "three").alias("e"), "f", "g", "h",
+    )
+    key = str
+    assert sorted(map(key, records(got))) == sorted(map(key, records(want)))
+
+
+def test_split_gives_elements_as_written(spark, built):
+    got = spark.sql("select ticket_id, piece from stg_tickets, lateral unnest_split(tags_raw, ',')")
+    assert sorted(map(tuple, got.collect())) == [(1, " b."), (1, "A"), (1, "c"), (2, "")]
+    got = spark.sql("select piece from stg_tickets, lateral unnest_split(tags_raw, '.')")
+    assert sorted(r[0] for r in got.collect()) == ["", ",c", "A, b"]
+
+
+def test_functions_are_inlined(spark, built):
+    """The plan is that of the expressions written out; a filter on a function reaches the scan."""
+    by_name = spark.sql("select week_start(created_at) as w, count(*) as n from fct_tickets group by all")
+    plan = by_name._jdf.queryExecution().optimizedPlan().toString()
+    assert "trunc" in plan
+    for name in sql_functions.FUNCTIONS:
+        assert f"{name}(" not in plan
+    kept = spark.sql("select * from fct_tickets where week_start(created_at) = date'2024-03-04'")
+    assert "SQLFunction" not in kept._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["ticket_id"] for r in kept.collect()} == {1, 2}
+
+
+def test_reports_as_text(spark, built):
+    """A documented kind of report runs as text against the views."""
+    got = spark.sql(
+        "select week_start, tickets_created, rate_pct(tickets_resolved, tickets_created) as pct "
+        "from mart_is_pressure_weekly where week_start >= date_sub_days(date'2024-03-20', 28)"
+    )
+    assert [tuple(r)[1:] for r in got.collect()] == [(2, 50.0)]
+
+
+def test_registering_again_replaces(spark):
+    sql_functions.register(spark)
+    sql_functions.register(spark)
+    assert spark.sql("select rate_pct(1, 0) is null as none").first()["none"]

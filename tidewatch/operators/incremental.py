@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -129,16 +129,27 @@ def _merge(
     values = [r[0] for r in touched.distinct().collect()]
     if not values:
         return
-    hit = F.col(partition).isin([v for v in values if v is not None])
-    if None in values:
-        hit = F.coalesce(hit, F.lit(False)) | F.col(partition).isNull()
-    merged = merge_by_key(target.filter(hit), batch, key).select(*target.columns)
+    merged = merge_by_key(target.filter(in_partitions(partition, values)), batch, key).select(*target.columns)
     merged = keep(merged.hint("rebalance", partition))
 
-    filled = {r[0] for r in merged.select(partition).distinct().collect()}
+    replace_partitions(merged, table, partition, values)
+
+
+def replace_partitions(content: DataFrame, table: str, partition: str, values: list) -> None:
+    """Puts ``content``, a stored copy, in place of the partitions ``values`` of a table."""
+    spark = content.sparkSession
+    filled = {r[0] for r in content.select(partition).distinct().collect()}
     with _session_setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-        merged.hint("rebalance", partition).write.insertInto(table, overwrite=True)
+        content.hint("rebalance", partition).write.insertInto(table, overwrite=True)
     for value in set(values) - filled:
         literal = "null" if value is None else f"date '{value}'"
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition} = {literal})")
     spark.catalog.refreshTable(table)
+
+
+def in_partitions(partition: str, values: list) -> Column:
+    """Rows of the partitions ``values``, among which may be that of null."""
+    hit = F.col(partition).isin([v for v in values if v is not None])
+    if None in values:
+        hit = F.coalesce(hit, F.lit(False)) | F.col(partition).isNull()
+    return hit

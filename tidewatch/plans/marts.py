@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -79,11 +81,16 @@ def team_pressure_weekly(tickets: DataFrame, closes: DataFrame, settings: Settin
         ["week_start", "tickets_created", "tickets_high_urgent", "tickets_resolved"],
         [created, resolved],
     )
+    return with_closes(load, closes, ("tickets_created", "tickets_high_urgent", "tickets_resolved"))
+
+
+def with_closes(load: DataFrame, closes: DataFrame, counted: Sequence[str]) -> DataFrame:
+    """Weekly ticket counts, of tickets or of any sums of them, with the closes of each week."""
     return align(
         [load, _close_points(closes, "committed_aum_closing_gbp")],
         ["week_start"],
         [
-            *("tickets_created", "tickets_high_urgent", "tickets_resolved"),
+            *counted,
             *("closes_scheduled", "closes_completed", "closes_upcoming"),
             "committed_aum_closing_gbp",
         ],
@@ -102,8 +109,16 @@ def partner_pressure_weekly(
         "int(requester_type = 'investor') as investor_tickets",
         "int(requester_type = 'relationship_manager') as rm_tickets",
     )
+    counted = ("tickets_created", "tickets_high_urgent", "investor_tickets", "rm_tickets")
+    return partners_with_closes(load, closes, partners, counted)
+
+
+def partners_with_closes(
+    load: DataFrame, closes: DataFrame, partners: DataFrame, counted: Sequence[str]
+) -> DataFrame:
+    """Weekly ticket counts per partner with its closes and its name."""
     measures = [
-        *("tickets_created", "tickets_high_urgent", "investor_tickets", "rm_tickets"),
+        *counted,
         *("closes_scheduled", "closes_completed", "closes_upcoming", "committed_aum_gbp"),
     ]
     calendar = _close_points(closes, "committed_aum_gbp", "partner_id")
@@ -242,25 +257,32 @@ def theme_summary(tags: DataFrame, themes: DataFrame) -> DataFrame:
     return touched.groupBy(*group).agg(F.count("ticket_id").alias("ticket_count"))
 
 
+HEALTH_ROWS = {
+    "investor_tickets": "requester_type = 'investor'",
+    "rm_tickets": "requester_type = 'relationship_manager'",
+    "internal_tickets": "requester_type = 'internal'",
+    "unknown_tickets": "requester_type = 'unknown'",
+    "attr_investor_email": "partner_attribution_method = 'investor_email_match'",
+    "attr_rm_email": "partner_attribution_method = 'rm_email_match'",
+    "attr_label_fallback": "partner_attribution_method = 'partner_label_fallback'",
+    "attr_unresolved": "partner_attribution_method = 'unresolved'",
+    "ambiguous_investor_email_count": "investor_email_is_ambiguous",
+    "ambiguous_rm_email_count": "rm_email_is_ambiguous",
+}
+
+
 def attribution_health(tickets: DataFrame, closes: DataFrame) -> DataFrame:
     """Weekly counts and rates of how tickets were attributed, with the present number of
     overdue upcoming closes on every row."""
-    rows = {
-        "investor_tickets": "requester_type = 'investor'",
-        "rm_tickets": "requester_type = 'relationship_manager'",
-        "internal_tickets": "requester_type = 'internal'",
-        "unknown_tickets": "requester_type = 'unknown'",
-        "attr_investor_email": "partner_attribution_method = 'investor_email_match'",
-        "attr_rm_email": "partner_attribution_method = 'rm_email_match'",
-        "attr_label_fallback": "partner_attribution_method = 'partner_label_fallback'",
-        "attr_unresolved": "partner_attribution_method = 'unresolved'",
-        "ambiguous_investor_email_count": "investor_email_is_ambiguous",
-        "ambiguous_rm_email_count": "rm_email_is_ambiguous",
-    }
     weekly = tickets.groupBy(F.col("created_week").alias("week_start")).agg(
         F.expr("count(*) as total_tickets"),
-        *(F.expr(f"count_if({condition}) as {name}") for name, condition in rows.items()),
+        *(F.expr(f"count_if({condition}) as {name}") for name, condition in HEALTH_ROWS.items()),
     )
+    return health_rates(weekly, closes)
+
+
+def health_rates(weekly: DataFrame, closes: DataFrame) -> DataFrame:
+    """Adds the rates and the number of overdue closes to the weekly counts."""
     stale = closes.filter("is_stale_upcoming").agg(F.count("*")).scalar()
     return weekly.withColumns(
         {

@@ -7,16 +7,17 @@ from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewatch.operators import checks, incremental
 from tidewatch.operators import lookup as lookups
 from tidewatch.operators import staging as stage
 from tidewatch.operators.resolve import attribute_partners, hot_ticket_keys, resolve_requesters
 from tidewatch.plans import dimensions as dims
-from tidewatch.plans import facts, marts
+from tidewatch.plans import facts, marts, sql_functions
 from tidewatch.plans.quality import RULES
 from tidewatch.settings import Settings
-from tidewatch.sources import Copies, write_table
+from tidewatch.sources import Copies, Releases, write_table
 
 MARTS = {
     "dim_partner": "dim_partner",
@@ -48,6 +49,20 @@ STAGED = {
 FACT = "fct_tickets"
 
 
+#: in a release, the report of its checks
+REPORT = "data_checks"
+
+
+class AuditFailed(Exception):
+    """A release failed its checks and was not published. ``report`` has a row per check."""
+
+    def __init__(self, release: str, report: DataFrame):
+        failed = [r for r in report.collect() if r["severity"] == "error" and not r["passed"]]
+        listed = ", ".join(f"{r['check_name']} {r['table_name']}.{r['column_name']}" for r in failed)
+        super().__init__(f"{release} is not published: {listed}")
+        self.release, self.report = release, report
+
+
 class Warehouse:
     """Lazy tables over the raw extracts.
 
@@ -233,22 +248,53 @@ class Warehouse:
         for name, df in self.tables().items():
             df.createOrReplaceTempView(name)
 
+    def register_functions(self) -> None:
+        """Makes the model's expressions available to ``spark.sql`` (see ``plans.sql_functions``)."""
+        sql_functions.register(self.raw["tickets"].sparkSession)
+
     def build(self, schema: str) -> Warehouse:
         """Writes all marts as tables of ``schema``; later tables scan the earlier ones.
 
         The fact is partitioned by creation month, which the refresh relies on. Tickets are
         resolved once, for the fact and the bridge.
         """
-        done: dict[str, DataFrame] = {}
         with Copies(self.raw["tickets"].sparkSession) as keep:
-            resolved = keep(self.resolved)
-            for name, attr in MARTS.items():
-                model = Warehouse(self.raw, self.settings, done)
-                model.resolved = model.requesters = resolved
-                partition = "created_month" if name == FACT else None
-                done[name] = write_table(getattr(model, attr), f"{schema}.{name}", partition)
+            return self._written(
+                keep(self.resolved), lambda name, df, by: write_table(df, f"{schema}.{name}", by)
+            )
+
+    def _written(self, resolved: DataFrame, write) -> Warehouse:
+        done: dict[str, DataFrame] = {}
+        for name, attr in MARTS.items():
+            model = Warehouse(self.raw, self.settings, done)
+            model.resolved = model.requesters = resolved
+            partition = "created_month" if name == FACT else None
+            done[name] = write(name, getattr(model, attr), partition)
         return Warehouse(self.raw, self.settings, done)
 
+    def release(self, root: str, blocking: tuple[str, ...] = ("error",)) -> Warehouse:
+        """Writes all marts beside the published ones, checks them, and publishes all or none.
+
+        The checks run on the files that would be published. A failed check of a ``blocking`` severity
+        raises ``AuditFailed``: what is published stays as it is, and the draft stays for inspection
+        until it is swept. Others are reported only. The report is part of the release. A driver that
+        dies leaves the published release as it was, up to the switch, which is one rename.
+        """
+        spark = self.raw["tickets"].sparkSession
+        releases = Releases(spark, root)
+        draft = releases.begin()
+        with Copies(spark) as keep:
+            resolved = keep(self.resolved)
+            model = self._written(
+                resolved, lambda name, df, by: releases.write(draft, name, df, partition_by=by)
+            )
+            report = releases.write(draft, REPORT, model.check(resolved))
+        stops = F.col("severity").isin(*blocking) & ~F.col("passed")
+        if report.filter(stops).limit(1).count():
+            raise AuditFailed(draft, report)
+        releases.publish(draft)
+        return model
+
     def refresh_batch(self, spark: SparkSession, table: str) -> DataFrame:
         """Fact rows to be merged into ``table``: the lookback filter is applied to the raw
         tickets, ahead of the resolution, where it reaches the scan."""
@@ -269,8 +315,8 @@ class Warehouse:
         batch = self.refresh_batch(spark, table)
         incremental.merge_into_table(batch, table, "ticket_id", "created_month")
 
-    def check(self) -> DataFrame:
-        """One row per data check.
+    def check(self, resolved: DataFrame | None = None) -> DataFrame:
+        """One row per data check. ``resolved`` are the resolved tickets, if they are stored already.
 
         The checks run at once. What most checked tables start from is written for the time
         they take; the rows that come back are as many as there are checks.
@@ -281,7 +327,7 @@ class Warehouse:
         )
         base = Warehouse(self.raw, self.settings, self.stored)
         with Copies(spark) as keep:
-            base.resolved = base.requesters = keep(self.resolved)
+            base.resolved = base.requesters = keep(self.resolved) if resolved is None else resolved
             for name in ("dim_investor", "dim_fund_close"):
                 if name not in base.stored:
                     base.stored[name] = keep(getattr(base, MARTS[name]))

@@ -1,8 +1,9 @@
 from tidewatch.sources.extracts import read_extract, read_extracts
+from tidewatch.sources.releases import Folder, Releases
 from tidewatch.sources.schemas import RAW
 from tidewatch.sources.tables import Copies, shared_folder, write_once, write_table
 
 __all__ = [
-    *("RAW", "Copies", "read_extract", "read_extracts"),
+    *("RAW", "Copies", "Folder", "Releases", "read_extract", "read_extracts"),
     *("shared_folder", "write_once", "write_table"),
 ]

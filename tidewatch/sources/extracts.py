@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.sources.schemas import RAW
 
+#: a header row, quotes doubled inside quoted texts, backslashes ordinary
+CSV_OPTIONS = {"header": "true", "enforceSchema": "false", "escape": '"'}
+
 
 def read_extract(
     spark: SparkSession, name: str, path: str, fmt: str = "csv", multi_line: bool = False
@@ -19,9 +22,7 @@ def read_extract(
     """
     reader = spark.read.schema(RAW[name])
     if fmt == "csv":
-        reader = reader.options(
-            header=True, enforceSchema=False, mode="FAILFAST", escape='"', multiLine=multi_line
-        )
+        reader = reader.options(**CSV_OPTIONS, mode="FAILFAST", multiLine=multi_line)
     return reader.format(fmt).load(path)
 
 
