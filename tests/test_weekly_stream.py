@@ -57,6 +57,13 @@ def expected(rows, through):
     return found
 
 
+@pytest.fixture(autouse=True)
+def few_tasks(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
 @pytest.fixture
 def feed(spark, tmp_path):
     return Feed(spark, str(tmp_path))
