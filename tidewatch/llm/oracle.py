@@ -18,6 +18,50 @@ select
 from hashed
 """
 
+SUBSTRING_DEDUP = r"""
+with placed as (
+    select doc_id, row_no, unnest(words) as word, generate_subscripts(words, 1) as place
+    from (
+        select doc_id, row_number() over () as row_no,
+            string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') as words
+        from documents
+    )
+),
+numbered as (
+    select doc_id, row_no, word, row_number() over (partition by row_no order by place) as place
+    from placed where word <> ''
+),
+windows as (
+    select doc_id, row_no, place, md5(string_agg(word, ' ') over thirteen) as run,
+        count(*) over thirteen as n
+    from numbered
+    window thirteen as (
+        partition by row_no order by place rows between current row and 12 following
+    )
+),
+later as (
+    select row_no, place
+    from (select *, min(doc_id) over (partition by run) as first_id from windows where n = 13)
+    where first_id < doc_id
+),
+marked as (
+    select numbered.*,
+        count(later.place) over (
+            partition by numbered.row_no order by numbered.place
+            rows between 12 preceding and current row
+        ) > 0 as gone
+    from numbered left join later using (row_no, place)
+)
+select docs.doc_id,
+    count(word) as n_words,
+    count(case when gone then 1 end) as n_removed,
+    sha256(coalesce(string_agg(case when not gone then word end, ' ' order by place), ''))
+        as kept_sha256
+from (select doc_id, row_number() over () as row_no from documents) as docs
+left join marked using (row_no)
+group by docs.row_no, docs.doc_id
+"""
+
 HARD_NEGATIVES = """
 with usable as (
     select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
@@ -128,6 +172,7 @@ select lang, rank, phrase, a, l, r, n, score from ranked join totals using (lang
 
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": EXACT_DEDUP,
+    "op6_substring_dedup": SUBSTRING_DEDUP,
     "op11_hard_negatives": HARD_NEGATIVES,
     "op13_phrases": PHRASES,
 }
