@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.llm.shared import all_of, fresh
+
 #: bits of the filter per hash, and in all: 2**29 bits are 64 MB, the most that is broadcast
 BITS_PER_HASH = 16
 MAX_BITS = 1 << 29
@@ -48,10 +50,11 @@ def member_filter(hashes: DataFrame, key: str, bits: int) -> DataFrame:
 
 def passes(rows: DataFrame, key: str, bitmaps: DataFrame, bits: int, flag: str) -> DataFrame:
     """Adds ``flag``: whether both positions of ``key`` are set. Rows stay where they are."""
-    columns = rows.columns
+    columns = all_of(rows.columns)
     both = F.lit(True)
     for n, position in enumerate(positions(F.col(key), bits)):
-        place, bucket, bitmap = (f"__{flag}_{x}{n}" for x in ("place", "bucket", "bitmap"))
+        names = (f"__{flag}_{x}{n}" for x in ("place", "bucket", "bitmap"))
+        place, bucket, bitmap = (fresh(rows, name) for name in names)
         side = bitmaps.select(F.col("bucket").alias(bucket), F.col("bitmap").alias(bitmap))
         rows = rows.withColumn(place, position).join(
             F.broadcast(side), F.shiftright(place, 15) == F.col(bucket), "left"

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.bloom import MAX_BITS, filter_bits, passes, repeat_filter
-from tidewatch.llm.shared import attach, fresh, text_of, write_once
+from tidewatch.llm.shared import all_of, attach, content_hash, fresh, text_of, write_once
 
 SPACES = r"[\x20\x09-\x0D]+"
 
@@ -75,13 +75,13 @@ def exact_dedup(
     row per text by an aggregate that combines before its shuffle. Of rows with equal id and text
     the one with the smallest hash of all its columns stays.
     """
-    columns = docs.columns
+    columns = all_of(docs.columns)
     key, flag, sha, kept = (fresh(docs, x) for x in ("__key", "__maybe", "__sha", "__row"))
     hashes = docs.select(F.xxhash64(F.unhex(text_hash(text))).alias("key"))
     bits = filter_bits(docs.count(), max_bits)
     rows = docs.withColumn(sha, F.unhex(text_hash(text))).withColumn(key, F.xxhash64(sha))
     rows = passes(rows, key, repeat_filter(hashes, "key", bits), bits, flag)
     straight = rows.filter(~F.col(flag)).select(*columns)
-    order = F.struct(F.col(id).isNull(), F.col(id), F.xxhash64(*columns))
+    order = F.struct(F.col(id).isNull(), F.col(id), content_hash(docs))
     single = rows.filter(flag).groupBy(sha).agg(F.min_by(F.struct(*columns), order).alias(kept))
     return straight.unionByName(single.select(f"{kept}.*"))

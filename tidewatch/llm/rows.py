@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.bloom import filter_bits, member_filter, passes
-from tidewatch.llm.shared import fresh, text_of
+from tidewatch.llm.shared import all_of, content_hash, fresh, text_of
 
 
 def row_key(id: str = "doc_id", text: str = "text") -> Column:
@@ -19,7 +19,7 @@ def excluding(rows: DataFrame, gone: DataFrame, key: str = "key") -> DataFrame:
 
     ``gone`` is a stored table with the column ``key``.
     """
-    columns, flag = rows.columns, fresh(rows, "__listed")
+    columns, flag = all_of(rows.columns), fresh(rows, "__listed")
     bits = filter_bits(gone.count())
     rows = passes(rows, key, member_filter(gone, key, bits), bits, flag)
     moving = rows.filter(flag).join(gone.select(key).distinct(), key, "left_anti")
@@ -39,7 +39,7 @@ def without(
     Their Bloom filter is broadcast (64 MB at most, see bloom.py); rows that it does not hold stay
     where they are, only the others shuffle.
     """
-    columns = docs.columns
+    columns = all_of(docs.columns)
     key, flag = fresh(docs, "__row_key"), fresh(docs, "__listed")
     listed = removed if repeated is None else removed.unionByName(repeated)
     bits = filter_bits(listed.count())
@@ -57,6 +57,6 @@ def without(
     if repeated is None:
         return kept
     # grouped before the joins, so that rows with one key are combined before they shuffle
-    once = moving.groupBy(key).agg(F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias(flag))
+    once = moving.groupBy(key).agg(F.min_by(F.struct(*columns), content_hash(docs)).alias(flag))
     once = once.join(keys(repeated), key, "left_semi").join(keys(removed), key, "left_anti")
     return kept.unionByName(once.select(f"{flag}.*"))

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from tidewatch.sources.tables import shared_folder, write_once
 
-__all__ = ["attach", "fresh", "read", "shared_folder", "shuffle_tasks", "text_of", "write_once"]
+__all__ = [
+    *("all_of", "attach", "content_hash", "fresh", "read", "shared_folder", "shuffle_tasks"),
+    *("text_of", "write_once"),
+]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -27,6 +30,20 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def all_of(names: list[str]) -> list[Column]:
+    """The columns of these names, which may hold dots and back quotes."""
+    return [F.col(f"`{name.replace('`', '``')}`") for name in names]
+
+
+def content_hash(df: DataFrame) -> Column:
+    """A hash of all columns; those that hold maps or variants, which have none, count as JSON."""
+    plain, other = [], []
+    for field, column in zip(df.schema, all_of(df.columns), strict=True):
+        kind = field.dataType.simpleString()
+        (other if "map<" in kind or "variant" in kind else plain).append(column)
+    return F.xxhash64(*plain, *(F.to_json(F.struct(column)) for column in other))
+
+
 def shuffle_tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
