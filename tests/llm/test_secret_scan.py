@@ -94,6 +94,61 @@ def test_model_is_what_was_counted(spark):
     assert ratio["ab"] == pytest.approx(want)
 
 
+LENGTHS = [12, 14, 16, 20, 24, 32, 40]
+
+
+@pytest.mark.parametrize("planted", [4, 60])
+def test_planted_random_strings_are_found_however_many(spark, planted):
+    """From 20 characters on at least 0.9 are found, and few words are taken for secrets."""
+    rng = random.Random(99)
+    letters = string.ascii_letters + string.digits
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()
+    rows = [[i, t] for i, t in docs]
+    spots = {}
+    for length in LENGTHS:
+        for _ in range(planted):
+            secret = "".join(rng.choice(letters) for _ in range(length))
+            n = rng.randrange(len(rows))
+            spots[secret] = (n, length)
+            rows[n][1] = f"{rows[n][1] or ''} {secret} it was"
+    numbered = [(n, text) for n, (_, text) in enumerate(rows)]
+    got = {r[0]: r[5] for r in rows_of(secret_scan.secret_report(frame(spark, numbered, False)))}
+    found = {length: 0 for length in LENGTHS}
+    expected_spans = set()
+    for secret, (n, length) in spots.items():
+        at = numbered[n][1].index(f" {secret} ") + 1
+        expected_spans.add((n, f"random:{at}:{at + length}"))
+        found[length] += f"random:{at}:{at + length}" in got[n].split(",")
+    spans = {(n, s) for n, written in got.items() for s in written.split(",") if s[:6] == "random"}
+    print(planted, found, "false alarms", len(spans - expected_spans))
+    assert all(found[length] >= 0.9 * planted for length in LENGTHS if length >= 20)
+    assert len(spans - expected_spans) <= len(rows) / 1000
+
+
+def test_tokens_covered_in_part_are_judged(spark):
+    rng = random.Random(5)
+    letters = string.ascii_letters + string.digits
+    syllables = ["tion", "the", "an", "er", "in", "ous", "con", "ment"]
+    words = [["".join(rng.choices(syllables, k=6)) for _ in range(40)] for _ in range(40)]
+    rows = [(n, " ".join(w) + " counter_measures") for n, w in enumerate(words)]
+    # a run of hexadecimal digits inside a longer key
+    key = "".join(rng.choice(letters) for _ in range(20)) + "Z" + f"{rng.getrandbits(64):016x}" + "Zq9X"
+    rows.append((500, f"see {key} here"))
+    rows.append((501, "see my_secret_token=abcdefghijkl here"))
+    got = {r[0]: r for r in rows_of(secret_scan.secret_report(frame(spark, rows)))}
+    assert f"random:4:{4 + len(key)}" in got[500][5].split(",") and got[500][3] == 1
+    assert "random" not in got[501][5] and got[501][1] == 1
+
+
+def test_labels_by_form(spark):
+    plain = ["internationalisation", "counter_measures", "HomePageController", "MAX_RETRY_COUNT"]
+    plain += ["2024-01-01-10", "usr/local/share"]
+    other = ["aB3dE5gH7jK9", "utf8decoder12", "AbCdEfGhIjKl"]
+    tokens = spark.createDataFrame([(t,) for t in plain + other], "match string")
+    got = dict(rows_of(tokens.select("match", secret_scan.ordinary().alias("is_plain"))))
+    assert all(got[t] for t in plain) and not any(got[t] for t in other)
+
+
 def test_long_text_with_many_matches(spark):
     rng = random.Random(16)
     text = " ".join(f"{rng.getrandbits(80):020x}" for _ in range(5000)) + " " + sentence(rng, 50)

@@ -2,13 +2,21 @@
 
 The rules find assignments to secret names, access keys and long hexadecimal runs. The models add
 what the rules have no form for: two character bigram models, one of random strings and one of
-ordinary identifiers, give every long token a log-likelihood ratio, and a token that the random
-model explains far better is a secret. Both are trained here, on all documents: tokens that a rule's
-match covers are the samples of random strings, all other tokens those of identifiers. Each distinct
-token counts once, so copies of a document do not weigh more. Letters count in either case.
+ordinary identifiers, give every token of 12 characters or more a log-likelihood ratio per pair of
+characters. Both are trained here, on labelled samples from all documents. Samples of random strings
+are the tokens within a rule's match. Samples of identifiers are the tokens in the form of words
+(letters in a word's case, joined by ``+/_-``) or of numbers; a token that mixes letters and digits,
+as unknown secrets do, labels nothing, so finding them does not depend on how many there are. Each
+distinct token counts once, so copies of a document do not weigh more. Letters count in either case.
+
+A token is a secret if its mean ratio exceeds a limit set from the samples: what all but one in a
+thousand of the identifiers stay below, but no more than half of what uniformly random strings are
+expected to reach and no less than ``MIN_MEAN``. Tokens that a rule's match covers in part are judged
+like all others, so an added span may overlap a rule's; tokens within a match are left to the rule.
 
 Offsets are in code points, ends exclusive. A null text counts as empty and has no spans; rows may
-repeat or have null ids, each gets its own result; an empty table gives an empty result.
+repeat or have null ids, each gets its own result; an empty table gives an empty result. Texts and
+tokens are read whole, however long.
 """
 
 from __future__ import annotations
@@ -30,13 +38,20 @@ KINDS = ["assign", "access", "hex", "random"]
 BASE_KINDS = 3
 ASSIGNED_LENGTH = 12
 
-#: tokens the models are trained on, and the length from which they are judged
+#: tokens the models are trained on and judge; those in the form of words have nothing but joints
+#: left when their words are taken out
 TOKEN = r"[A-Za-z0-9+/_-]{12,}"
-JUDGED_LENGTH = 16
+WORD = "[A-Z]?[a-z]{2,}"
+JOINTS = "^[+/_-]*$"
+CAPITALS_OR_NUMBERS = "^([A-Z+/_-]+|[0-9+/_-]+)$"
 ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789+/_-"
-#: how much of the random model is the uniform one, and the ratio (nats) from which a token is secret
+#: how much of the random model is the uniform one
 UNIFORM_SHARE = 0.5
-MIN_RATIO = 10.0
+#: the most one pair of characters says (nats), the least mean ratio of a secret, and the share of
+#: the identifiers that stay below the limit
+MAX_PAIR = 3.0
+MIN_MEAN = 0.25
+BELOW_LIMIT = 0.999
 
 
 def _matches(pattern: str) -> Column:
@@ -69,10 +84,10 @@ def scan(docs: DataFrame, id: str, text: str) -> DataFrame:
 
 
 def placed(scanned: DataFrame) -> DataFrame:
-    """(row_no, kind, start, end, match, covered): matches that hold, with their offsets.
+    """(row_no, kind, start, end, match, inside): matches that hold, with their offsets.
 
-    ``covered`` says whether a token shares a character with a rule's match. Sorting within one
-    document does both, so very many matches in one text cost no more than their sort.
+    ``inside`` says whether a token lies within a rule's match. Sorting within one document does
+    both, so very many matches in one text cost no more than their sort.
     """
     rows = scanned.select("row_no", F.inline("found")).filter("match is not null")
     rows = rows.withColumn("length", F.length("match"))
@@ -81,17 +96,12 @@ def placed(scanned: DataFrame) -> DataFrame:
     ).withColumn("start", F.expr("end - length"))
     value = F.length(F.regexp_extract("match", ASSIGN, 2))
     rows = rows.filter((F.col("kind") > 0) | (value >= ASSIGNED_LENGTH))
-    base = f"kind < {BASE_KINDS}"
-    before = f"max(if({base}, end, null)) over (partition by row_no order by start, kind)"
-    after = (
-        f"min(if({base}, start, null)) over (partition by row_no order by start, kind "
-        "rows between current row and unbounded following)"
+    reached = (
+        f"max(if(kind < {BASE_KINDS}, end, null)) over (partition by row_no order by start, kind)"
     )
     return rows.select(
         *("row_no", "kind", "start", "end", "match"),
-        F.expr(f"coalesce({before} > start, false) or coalesce({after} < end, false)").alias(
-            "covered"
-        ),
+        F.expr(f"coalesce({reached} >= end, false)").alias("inside"),
     )
 
 
@@ -126,8 +136,34 @@ def model(tokens: DataFrame) -> DataFrame:
     )
 
 
+def ordinary(match: str = "match") -> Column:
+    """Whether a token has the form of words or of numbers: a sample of ordinary identifiers."""
+    words = F.regexp_replace(match, WORD, "").rlike(JOINTS)
+    return words | F.col(match).rlike(CAPITALS_OR_NUMBERS)
+
+
+def judge(tokens: DataFrame, min_mean: float = MIN_MEAN) -> DataFrame:
+    """The rows of ``tokens`` (match, is_random, uses; one per distinct token) that are secrets."""
+    labelled = tokens.withColumn("is_plain", ~F.col("is_random") & ordinary())
+    samples = labelled.filter("is_random or is_plain").select("match", "is_random")
+    ratios = write_once(
+        model(samples).select("pair", F.least("ratio", F.lit(MAX_PAIR)).alias("ratio"))
+    )
+    scored = write_once(
+        bigrams(labelled.filter("uses > 0").select("match", "uses", "is_plain"))
+        .join(F.broadcast(ratios), "pair")
+        .groupBy("match", "uses", "is_plain")
+        .agg(F.round(F.avg("ratio"), 6).alias("mean"))
+    )
+    plain = F.when(F.col("is_plain"), F.col("mean"))
+    below = scored.agg(F.percentile_approx(plain, BELOW_LIMIT, 10_000)).first()[0]
+    expected = ratios.agg(F.avg("ratio")).first()[0]
+    limit = max(min_mean, expected / 2 if below is None else min(below, expected / 2))
+    return scored.filter(F.col("mean") > limit).select("match", "uses")
+
+
 def find_secrets(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", min_ratio: float = MIN_RATIO
+    docs: DataFrame, id: str = "doc_id", text: str = "text", min_mean: float = MIN_MEAN
 ) -> DataFrame:
     """One row per document: the id and ``found``, its spans (start, kind, end) in order.
 
@@ -138,21 +174,12 @@ def find_secrets(
     tokens = hits.filter(F.col("kind") == BASE_KINDS)
     distinct = write_once(
         tokens.groupBy("match").agg(
-            F.bool_or("covered").alias("is_random"),
-            F.count_if(~F.col("covered")).alias("uses"),
+            F.bool_or("inside").alias("is_random"),
+            F.count_if(~F.col("inside")).alias("uses"),
         )
     )
-    judged = distinct.filter((F.length("match") >= JUDGED_LENGTH) & (F.col("uses") > 0))
-    secret = (
-        bigrams(judged.select("match", "uses"))
-        .join(F.broadcast(model(distinct)), "pair")
-        .groupBy("match", "uses")
-        .agg(F.sum("ratio").alias("ratio"))
-        .filter(F.col("ratio") >= min_ratio)
-        .select("match", "uses")
-    )
-    open_tokens = tokens.filter("not covered").filter(F.length("match") >= JUDGED_LENGTH)
-    added = attach(open_tokens, secret, "match", "uses", distinct.agg(F.sum("uses")).first()[0] or 0)
+    total = distinct.agg(F.sum("uses")).first()[0] or 0
+    added = attach(tokens.filter("not inside"), judge(distinct, min_mean), "match", "uses", total)
     span = ["row_no", "start", "kind", "end"]
     spans = hits.filter(F.col("kind") < BASE_KINDS).select(*span).unionByName(added.select(*span))
     per_row = spans.groupBy("row_no").agg(
