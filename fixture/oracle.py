@@ -365,6 +365,18 @@ union all
 select null, 0, 0, 0, 0, 0, 0, 0
 where (select count(*) from rich_k where close_week is null) > 0""",
     "kept_partner_weekly": _whole("per_partner_week"),
+    "sketched_investors": """
+select investor_id, count(*) as row_count, quantile_disc(resolution_hours, 0.5) as median_hours
+from fact
+where requester_type = 'investor' and investor_id is not null
+  and created_at >= date '1996-01-01' and created_at < date '1999-01-01'
+group by investor_id""",
+    "sketched_themes": """
+select theme, count(*) as row_count, count(distinct investor_id) as investors,
+       count(distinct partner_id) as partners
+from tag join raw_tag_themes using (tag)
+where created_at >= date '1996-01-01' and created_at < date '1999-01-01'
+group by theme""",
     "kept_themes": _whole("themed"),
     "kept_health": _whole("health"),
     "lenient_good": """

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from fixture.extracts import BASE_SCHEMAS, TEXTS, base_table, warehouse
 from tidewatch import Warehouse
 from tidewatch.functions import hours_between, month_start, week_start
-from tidewatch.operators import checks
+from tidewatch.operators import checks, sketches
 from tidewatch.operators.incremental import lookback_filter, merge_by_key, sync_schema
 from tidewatch.operators.profile import close_order_anomalies, profile
 from tidewatch.operators.synonyms import build_synonyms, distinctive_keywords
@@ -132,6 +132,32 @@ def tags_by_sql(model: Warehouse) -> DataFrame:
     )
 
 
+def sketched(rows: DataFrame, key: str, since: date, until: date, **columns) -> DataFrame:
+    """Answers over a period from sketches that were stored per month."""
+    path = f"{shared_folder(rows.sparkSession)}/sketches-{uuid4().hex}"
+    names = {kind: list(asked) for kind, asked in columns.items()}
+    sketches.write_months(sketches.monthly(rows, [key], "created_month", **names), path, "created_month")
+    stored = rows.sparkSession.read.parquet(path)
+    quantiles = {name: (column, 0.5) for column, name in columns.get("quantiles", {}).items()}
+    distinct = {name: column for column, name in columns.get("distinct", {}).items()}
+    return sketches.over_period(
+        stored, [key], "created_month", since, until, quantiles=quantiles, distinct=distinct
+    )
+
+
+def sketched_investors(model: Warehouse) -> DataFrame:
+    own = model.ticket_fact.filter("requester_type = 'investor' and investor_id is not null")
+    median = {"resolution_hours": "median_hours"}
+    return sketched(own, "investor_id", date(1996, 1, 1), date(1999, 1, 1), quantiles=median)
+
+
+def sketched_themes(model: Warehouse) -> DataFrame:
+    tagged = model.ticket_tags.join(model.raw["tag_themes"], "tag")
+    tagged = tagged.withColumn("created_month", month_start("created_at"))
+    counted = {"investor_id": "investors", "partner_id": "partners"}
+    return sketched(tagged, "theme", date(1996, 1, 1), date(1999, 1, 1), distinct=counted)
+
+
 def schema_sync(model: Warehouse) -> DataFrame:
     wanted = T.StructType(
         [
@@ -203,6 +229,8 @@ QUERIES: dict[str, Query] = {
     "attribution_health": _on(lambda w: w.attribution_health),
     "incremental_merge": _on(incremental_merge),
     "schema_sync": _on(schema_sync),
+    "sketched_investors": _on(sketched_investors),
+    "sketched_themes": _on(sketched_themes),
     "kept_team_weekly": _on(kept("mart_is_pressure_weekly")),
     "kept_partner_weekly": _on(kept("mart_partner_pressure_weekly")),
     "kept_themes": _on(kept("mart_theme_ticket_summary")),
