@@ -13,7 +13,7 @@ Documents are read once. Their tasks drop fingerprints that the benchmark does n
 filter of 1 MB, whatever the benchmark's size; what passes is joined for certain. Benchmark
 fingerprints are broadcast up to ``BROADCAST_ROWS``, beyond that the join shuffles.
 
-A null text has no words. Null ids stay null in the result; an item without an id marks words but is
+A null text has no words; long texts are read whole. Null ids stay null in the result; an item without an id marks words but is
 not listed; rows may repeat. Empty tables give empty results, or documents without hits.
 """
 

@@ -11,7 +11,8 @@ empty ones left out, and the others joined in page order by one line feed. A lin
 white space. Text of scripts, styles, the page head and form controls is no block at all; formulas are text,
 without their annotations, and so is what noscript and object elements hold. A null
 page counts as empty; a page without content gives an empty text; pages may repeat, each row gets its
-result; an empty table gives an empty result. Broken markup is read as browsers do in the usual cases:
+result; an empty table gives an empty result. Pages are read whole; time grows with a page's length times
+the depth of its elements, so pages of many thousand unclosed elements are slow. Broken markup is read as browsers do in the usual cases:
 unclosed paragraphs, items and cells end where the next one begins, an unclosed head where something
 begins that cannot stand in it, unmatched end tags are ignored.
 """

@@ -10,7 +10,8 @@ probabilities. The model in the end is fitted on all training rows, of which non
 A document is held out, and its label never read, if crc32 of its id as text mod 5 is 0. A null text
 counts as empty and has statistics of zero; a null id is held out; rows may repeat. Labels without
 a quality do not count, several labels of a document count each. Without any labelled row every
-score is one half. An empty table gives an empty result.
+score is one half. Texts are read whole, however long. An empty
+table gives an empty result.
 """
 
 from __future__ import annotations

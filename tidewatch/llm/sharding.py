@@ -12,7 +12,8 @@ fall into are summed again more finely, until all cuts fall between known groups
 1/4096 of all bytes stand alone from the start.
 
 A null text has no bytes; sizes are bytes + 1, so empty documents weigh something too. Null and
-empty texts are one group. Ids may repeat or be null: every row gets a slot of its own. An empty
+empty texts are one group. Long texts count whole; one above a fair share has a shard of
+its own size. Ids may repeat or be null: every row gets a slot of its own. An empty
 table gives an empty result; shards may stay empty if there are few groups.
 """
 

@@ -12,7 +12,7 @@ choice of the other bands. A block of more than one tile is laid out by populati
 are compared by exclusive-or and bit counts, tile pairs whose population counts differ by more than the
 radius are skipped. Of what it finds a task passes on a spanning forest, never all pairs.
 
-Ids may repeat or be null (a null id is nobody's smallest); an empty table gives an empty result.
+Texts are read whole, however long. Ids may repeat or be null (a null id is nobody's smallest); an empty table gives an empty result.
 """
 
 from __future__ import annotations

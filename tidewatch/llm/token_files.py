@@ -17,7 +17,8 @@ places. Of documents with the same key the index leads to the first, the others
 
 Nothing of a shard but its index is held in memory by readers; writers hold one shard of at most
 ``MAX_IDS`` ids. Files are written under another name and renamed, so a task that runs again
-replaces its file by the same one. A null text counts as empty; an empty table gives no shards.
+replaces its file by the same one. A null text counts as empty; texts are encoded whole,
+however long; an empty table gives no shards.
 """
 
 from __future__ import annotations
