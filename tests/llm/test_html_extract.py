@@ -1,13 +1,14 @@
 import html
 import random
 import re
+import time
 from itertools import product
 
 import pyarrow.parquet as pq
 import pytest
 
 from tests.llm.cases import multiset, rows_of
-from tidewatch.llm.html_extract import extracted, main_text, minimum_cut
+from tidewatch.llm.html_extract import PageReader, extracted, labels, main_text, minimum_cut
 from tidewatch.llm.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -199,3 +200,73 @@ def test_formulas_and_fallback_texts_stay_in_an_article():
         assert main_text(page.format("it", SENTENCE, part)) == want
         want = f"Title\n{SENTENCE}\n{SENTENCE}"
         assert main_text(f"<{tag}>Please enable it.</{tag}><article>{ARTICLE}</article>") == want
+
+
+COMMENT = " ".join([SENTENCE] * 9)
+STORY = f"<h1>Title</h1><p>{SENTENCE}</p><p>{LONG_TEXT}</p><p>{SENTENCE}</p>"
+TOLD = f"Title\n{SENTENCE}\n{LONG_TEXT}\n{SENTENCE}"
+
+
+@pytest.mark.parametrize(
+    "start",
+    [
+        '<div class="comments">',
+        '<section id="comments">',
+        '<ol class="comment-list"><li>',
+        '<section id="comments"><article>',
+        '<div class="sidebar">',
+        '<div class="cookie-notice">',
+        '<div class="ad">',
+        '<div class="newsletter-signup">',
+        '<div class="sponsored">',
+    ],
+)
+@pytest.mark.parametrize("times", [1, 3])
+def test_long_comments_adverts_and_notices_go(start, times):
+    end = "".join(f"</{tag}>" for tag in reversed(re.findall(r"<(\w+)", start)))
+    part = start + f"<p>{COMMENT}</p>" * times + end
+    if times == 1 or "omment" in start:  # comments go however much of the page they are
+        assert main_text(f"<body><article>{ARTICLE}{part}</article>") == f"Title\n{SENTENCE}\n{SENTENCE}"
+    assert main_text(f"<body><article>{STORY}{part}</article>") == TOLD
+    assert main_text(f"<body><article>{STORY}</article>{part}") == TOLD
+    assert main_text(f"<body>{part}<article>{STORY}</article>") == TOLD
+
+
+def test_list_of_links_in_an_article_stays():
+    items = "".join(f'<li><a href="/{n}">Page {n}</a>' for n in range(5))
+    told = "\n".join(["Links", *(f"Page {n}" for n in range(5))])
+    assert main_text(f"<body><nav><ul>{items}</ul></nav><article><h1>Links</h1><ul>{items}</ul></article>") == told
+    assert main_text(f"<article><h1>Links</h1><ul>{items}</ul><p>{SENTENCE}</article>") == f"{told}\n{SENTENCE}"
+    assert main_text(f"<article><ul>{items}</ul>{ARTICLE}</article>").startswith("Title")
+
+
+def test_cut_decides_blocks_of_either_sign():
+    rng = random.Random(5)
+    changed = {True: 0, False: 0}
+    parts = ["<p>One.</p>", "<h2>Two</h2>", f"<p>{SENTENCE}</p>", f'<div class="legal"><p>{COMMENT}</p></div>']
+    parts += ['<div><a href="/">Three</a></div>', "<ul><li>Four<li>Five</ul>", f"<p>{LONG_TEXT}</p>"]
+    for _ in range(300):
+        body = "".join(rng.choices(parts, k=4))
+        page = PageReader().read(f"<div>{body}</div>" if rng.random() < 0.5 else f"<main>{body}</main>")
+        scores, edges = labels(page)
+        label = minimum_cut(scores, edges)
+        if len(scores) <= 11:
+
+            def cost(kept, scores=scores, edges=edges):
+                ends = sum(abs(s) for s, k in zip(scores, kept, strict=True) if s and (s > 0) != bool(k))
+                return ends + sum(w for a, b, w in edges if kept[a] != kept[b])
+
+            assert cost(label) == min(map(cost, product([False, True], repeat=len(scores))))
+        for value, kept in zip(scores[: len(page.blocks)], label, strict=False):
+            changed[kept] += (value > 0) != kept
+    assert changed[True] > 0 and changed[False] > 0
+
+
+@pytest.mark.parametrize("tag", ["div", "span", "li><ul", "table><tr><td", "p><b"])
+def test_deep_pages_take_time_by_their_length(tag):
+    begun = time.process_time()
+    deep = f"<{tag}>" * 50_000
+    assert main_text(f"<body>{deep}</body><p></p>") == ""
+    assert time.process_time() - begun < 6
+    inside = f"{f'<{tag}>' * 5_000}<article>{ARTICLE}"
+    assert main_text(inside) == f"Title\n{SENTENCE}\n{SENTENCE}"

@@ -11,9 +11,8 @@ empty ones left out, and the others joined in page order by one line feed. A lin
 white space. Text of scripts, styles, the page head and form controls is no block at all; formulas are text,
 without their annotations, and so is what noscript and object elements hold. A null
 page counts as empty; a page without content gives an empty text; pages may repeat, each row gets its
-result; an empty table gives an empty result. Pages are read whole; time grows with a page's length times
-the depth of its elements, so pages of many thousand unclosed elements are slow. Broken markup is read as browsers do in the usual cases:
-unclosed paragraphs, items and cells end where the next one begins, an unclosed head where something
+result; an empty table gives an empty result. Pages are read whole, in time that grows with their length,
+however deep their elements are. Broken markup is read as browsers do in the usual cases: unclosed paragraphs, items and cells end where the next one begins, an unclosed head where something
 begins that cannot stand in it, unmatched end tags are ignored.
 """
 
@@ -69,7 +68,13 @@ ASIDE_WORDS = frozenset(
 )
 MAIN = frozenset("article main".split())
 MAIN_WORDS = frozenset("article content entry main post story".split())
-COMMENT_WORDS = frozenset("comment comments replies reply".split())
+COMMENT_WORDS = frozenset("comment comments discussion disqus replies reply".split())
+#: aside words that long text alone does not outweigh
+UNWANTED_WORDS = COMMENT_WORDS | frozenset(
+    "ad ads advert advertisement adverts banner consent contentinfo cookie cookies footer gdpr newsletter "
+    "notice notification popup promo promoted promotion sidebar signup sponsor sponsored subscribe "
+    "subscription".split()
+)
 MENU_WORDS = frozenset("menu nav navbar navigation pager pagination".split())
 #: words by which a name tells what is beside or in a state, not what the element holds
 MODIFIERS = frozenset(
@@ -84,11 +89,17 @@ FILLERS = frozenset(
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
-#: weights of the classifier, in log-odds; NAMED is for elements that only a name sets aside, HINTED
-#: is added where a name has an aside word beside others
+#: weights of the classifier, in log-odds; COMMENTS, UNWANTED and NAMED are for elements that only a
+#: name sets aside, MINOR is added to the last where they hold less than half of the page's text, HINTED
+#: where a name has an aside word beside others
 IN_ASIDE, IN_MAIN, ELSEWHERE = -9.0, 4.0, -0.5
-NAMED, HINTED = -4.5, -2.0
+COMMENTS, UNWANTED, NAMED, MINOR, HINTED = -8.75, -8.5, -4.5, -2.0, -2.0
+#: the share of a page's text from which on names of UNWANTED say no more than those of NAMED: without
+#: it the page would be all but empty
+NEARLY_ALL = 5 / 6
 LINKED, LONG, SENTENCE, PARAGRAPH, ITEM = -4.0, 1.5, 0.75, 0.5, -0.5
+#: instead of LINKED in main text that has begun, where a list of links may be what it tells
+LINKED_IN_MAIN = -3.0
 #: for the characters from 200 to 600 of a block
 LONGER = 3.0
 #: smoothness: neighbours in the page, a block and its element, an element and the one around it
@@ -102,9 +113,14 @@ _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 @dataclass
 class Element:
     tag: str
+    #: number and tag of the nearest element that is a block, itself included
     number: int
-    around: int
+    holder: str
     standing: float
+    #: whether it is in a main element, in one that is aside by its tag, in one named for comments
+    in_main: bool = False
+    in_aside: bool = False
+    commented: bool = False
 
 
 @dataclass
@@ -114,6 +130,8 @@ class Block:
     tag: str
     standing: float
     linked: int
+    #: whether it is in a main element that has begun with a block of its own words
+    begun: bool = False
 
 
 @dataclass
@@ -124,7 +142,7 @@ class Page:
 
 
 def meanings(names: list[str]) -> set[str]:
-    """What names of an element say it holds: "main", "aside", "comment", or "hint".
+    """What names of an element say it holds: "main", "aside", "unwanted", "comment", or "hint".
 
     The last word that is no filler decides: related-work is about work, site-footer is a footer. An
     aside word before others, or beside a word for main text (entry-header, but not main-menu), is a
@@ -142,6 +160,8 @@ def meanings(names: list[str]) -> set[str]:
             words.pop()
         if words[-1] in COMMENT_WORDS:
             found.add("comment")
+        elif words[-1] in UNWANTED_WORDS and MAIN_WORDS.isdisjoint(words):
+            found.add("unwanted")
         elif words[-1] in MENU_WORDS or (words[-1] in ASIDE_WORDS and MAIN_WORDS.isdisjoint(words)):
             found.add("aside")
         else:
@@ -155,7 +175,10 @@ class PageReader(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.page = Page(around=[-1])
-        self.open = [Element("", 0, -1, ELSEWHERE)]
+        self.open = [Element("", 0, "", ELSEWHERE)]
+        #: where in ``open`` the elements of each tag are
+        self.places: dict[str, list[int]] = {}
+        self.begun = False
         self.silent = 0
         self.links = 0
         self.words: list[str] = []
@@ -165,10 +188,12 @@ class PageReader(HTMLParser):
         """What a block in this element may be, as far as the elements around it tell.
 
         An article ends what words around it said, but not what elements such as nav said. Names set no
-        article, main element or element named for main text aside, but an article named a comment;
-        elsewhere they are a weight, which long text outweighs.
+        article, main element or element named for main text aside, but an article named a comment or among
+        comments; elsewhere they are a weight, which long text outweighs unless the name is that of
+        comments, adverts, notices, sidebars or footers (but for comments, if they are nearly the whole page).
         """
-        outer = self.open[-1].standing
+        held = self.open[-1]
+        outer = held.standing
         if tag in ("html", "body") or (outer == IN_ASIDE and tag not in MAIN):
             return outer
         names: list[str] = []
@@ -182,17 +207,22 @@ class PageReader(HTMLParser):
                 concealed = True
             elif name == "style" and value and "display:none" in value.replace(" ", "").lower():
                 concealed = True
-        meant = meanings(names)
-        in_main = any(e.tag in MAIN for e in self.open)
-        if concealed or tag in ASIDE or (tag == "header" and not in_main):
+        meant = meanings(names) if names else set()
+        if concealed or tag in ASIDE or (tag == "header" and not held.in_main):
             return IN_ASIDE
         if tag in MAIN:
-            if tag == "article" and "comment" in meant:
+            if tag == "article" and ("comment" in meant or held.commented):
                 return IN_ASIDE
-            return outer if any(e.tag in ASIDE for e in self.open) else IN_MAIN
-        if outer == NAMED or "main" in meant:
+            return outer if held.in_aside else IN_MAIN
+        if outer in (COMMENTS, UNWANTED):
+            return outer
+        if "main" in meant:
             return outer if outer == NAMED else IN_MAIN
-        if "aside" in meant or "comment" in meant:
+        if "comment" in meant:
+            return COMMENTS
+        if "unwanted" in meant:
+            return UNWANTED
+        if outer == NAMED or "aside" in meant:
             return NAMED
         hinted = "hint" in meant or tag in FALLBACK
         return outer + HINTED if hinted and outer in (IN_MAIN, ELSEWHERE) else outer
@@ -201,39 +231,37 @@ class PageReader(HTMLParser):
         text = " ".join("".join(self.words).split())
         if text:
             held = self.open[-1]
-            for held in reversed(self.open):
-                if held.tag in BLOCKS or not held.tag:
-                    break
-            block = Block(text, held.number, held.tag, self.open[-1].standing, self.linked)
-            self.page.blocks.append(block)
+            begun = self.begun and held.in_main
+            self.page.blocks.append(
+                Block(text, held.number, held.holder, held.standing, self.linked, begun)
+            )
+            self.begun |= held.in_main and 2 * self.linked < len(text)
         self.words, self.linked = [], 0
 
+    def last(self, tags: frozenset[str] | set[str]) -> int:
+        """Where the innermost open element with one of ``tags`` is, 0 without one."""
+        return max((self.places[tag][-1] for tag in tags if self.places.get(tag)), default=0)
+
     def close_from(self, place: int) -> None:
         for element in self.open[place:]:
             self.silent -= element.tag in SILENT
             self.links -= element.tag == "a"
+            self.places[element.tag].pop()
         del self.open[place:]
 
     def end_like(self, tags: set[str], within: set[str]) -> None:
-        for place in range(len(self.open) - 1, 0, -1):
-            tag = self.open[place].tag
-            if tag in within:
-                return
-            if tag in tags:
-                self.close_from(place)
-                return
+        place = self.last(tags)
+        if place and place > self.last(within):
+            self.close_from(place)
 
     def end_head(self) -> None:
         """Closes an open head, as what begins cannot stand in it, unless within a title or the like."""
-        for place in range(len(self.open) - 1, 0, -1):
-            if self.open[place].tag in HEAD_TEXT:
-                return
-            if self.open[place].tag == "head":
-                self.close_from(place)
-                return
+        place = self.last({"head"})
+        if place and place > self.last(HEAD_TEXT):
+            self.close_from(place)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if tag == "head" and any(e.tag not in ("", "html") for e in self.open):
+        if tag == "head" and len(self.open) - 1 > len(self.places.get("html", ())):
             return  # a head begins before all else
         if tag not in IN_HEAD:
             self.end_head()
@@ -247,15 +275,27 @@ class PageReader(HTMLParser):
         if tag in VOID:
             return
         standing = self.standing(tag, attrs)
+        held = self.open[-1]
+        number, holder = held.number, held.holder
         if tag in BLOCKS:
-            outer = next(e.number for e in reversed(self.open) if e.tag in BLOCKS or not e.tag)
-            number = len(self.page.around)
-            self.page.around.append(outer)
-        else:
-            number = outer = self.open[-1].number
-            if standing != self.open[-1].standing:
-                self.flush()  # an inline element that is set apart, such as a hidden one
-        self.open.append(Element(tag, number, outer, standing))
+            self.page.around.append(number)
+            number, holder = len(self.page.around) - 1, tag
+        elif standing != held.standing:
+            self.flush()  # an inline element that is set apart, such as a hidden one
+        self.places.setdefault(tag, []).append(len(self.open))
+        self.open.append(
+            Element(
+                tag,
+                number,
+                holder,
+                standing,
+                held.in_main or tag in MAIN,
+                held.in_aside or tag in ASIDE,
+                tag != "main" and (held.commented or standing == COMMENTS),
+            )
+        )
+        if tag in MAIN:
+            self.begun = False
         self.silent += tag in SILENT
         self.links += tag == "a"
 
@@ -265,12 +305,11 @@ class PageReader(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag in BLOCKS:
             self.flush()
-        for place in range(len(self.open) - 1, 0, -1):
-            if self.open[place].tag == tag:
-                if place and self.open[place].standing != self.open[place - 1].standing:
-                    self.flush()
-                self.close_from(place)
-                return
+        place = self.last({tag})
+        if place:
+            if self.open[place].standing != self.open[place - 1].standing:
+                self.flush()
+            self.close_from(place)
 
     def handle_data(self, data: str) -> None:
         if self.open[-1].tag == "head" and data.strip():
@@ -287,14 +326,31 @@ class PageReader(HTMLParser):
         return self.page
 
 
-def score(block: Block) -> float:
-    """Log-odds that a block is content."""
-    found = block.standing
-    size = len(block.text)
-    found += LINKED * min(1.0, block.linked / size)
-    found += LONG * min(1.0, size / 200) + LONGER * min(1.0, max(0, size - 200) / 400)
-    found += SENTENCE * (block.text[-1] in ".!?…。")
-    found += PARAGRAPH * (block.tag in ("p", "pre", "blockquote")) + ITEM * (block.tag == "li")
+def scores(blocks: list[Block]) -> list[float]:
+    """Log-odds that each block is content, some of them by what the page's other blocks hold."""
+    texts = dict.fromkeys((NAMED, UNWANTED, COMMENTS, IN_ASIDE), 0)
+    whole = 0
+    for block in blocks:
+        size = len(block.text) - min(len(block.text), block.linked)
+        if block.standing in texts:
+            texts[block.standing] += size
+        whole += size
+    whole -= texts[COMMENTS] + texts[IN_ASIDE]
+    costs = {}
+    if texts[UNWANTED] > NEARLY_ALL * whole:
+        costs[UNWANTED] = NAMED
+    if 2 * texts[NAMED] < whole:
+        costs[NAMED] = NAMED + MINOR
+    found = []
+    for block in blocks:
+        size = len(block.text)
+        value = costs.get(block.standing, block.standing)
+        linked = LINKED_IN_MAIN if block.begun and block.standing == IN_MAIN else LINKED
+        value += linked * min(1.0, block.linked / size)
+        value += LONG * min(1.0, size / 200) + LONGER * min(1.0, max(0, size - 200) / 400)
+        value += SENTENCE * (block.text[-1] in ".!?…。")
+        value += PARAGRAPH * (block.tag in ("p", "pre", "blockquote")) + ITEM * (block.tag == "li")
+        found.append(value)
     return found
 
 
@@ -374,19 +430,28 @@ def _flow_sides(rest: list[int], scores: list[int], near: list[dict[int, int]])
     return [far[i] >= 0 for i in range(len(rest))]
 
 
+def labels(page: Page) -> tuple[list[int], list[tuple[int, int, int]]]:
+    """The scores of a page's blocks and then its elements, and the edges between them."""
+    blocks, base = page.blocks, len(page.blocks)
+    found = [round(value * SCALE) for value in scores(blocks)] + [0] * len(page.around)
+    edges = [(i, i + 1, round(NEXT * SCALE)) for i in range(base - 1)]
+    edges += [(i, base + b.element, round(HELD * SCALE)) for i, b in enumerate(blocks)]
+    holding = {b.element for b in blocks}
+    for number in range(len(page.around) - 1, 0, -1):  # an element without blocks would have none to keep
+        if number in holding:
+            outer = page.around[number]
+            holding.add(outer)
+            edges.append((base + number, base + outer, round(AROUND * SCALE)))
+    return found, edges
+
+
 def main_text(html: str | None) -> str:
     """The content blocks of a page."""
     page = PageReader().read(html or "")
-    blocks, holders = page.blocks, page.around
-    if not blocks:
+    if not page.blocks:
         return ""
-    scores = [round(score(b) * SCALE) for b in blocks] + [0] * len(holders)
-    base = len(blocks)
-    edges = [(i, i + 1, round(NEXT * SCALE)) for i in range(base - 1)]
-    edges += [(i, base + b.element, round(HELD * SCALE)) for i, b in enumerate(blocks)]
-    edges += [(base + n, base + o, round(AROUND * SCALE)) for n, o in enumerate(holders) if o >= 0]
-    label = minimum_cut(scores, edges)
-    return "\n".join(b.text for b, kept in zip(blocks, label[:base], strict=True) if kept)
+    label = minimum_cut(*labels(page))
+    return "\n".join(b.text for b, kept in zip(page.blocks, label, strict=False) if kept)
 
 
 def extracted(
