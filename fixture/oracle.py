@@ -582,5 +582,8 @@ QUERIES["released_tables"] = " union all ".join(
 )
 
 
+QUERIES["clustered_merge"] = QUERIES["incremental_merge"]
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: statement(query.strip()) for name, query in QUERIES.items()}

@@ -15,11 +15,11 @@ from fixture.extracts import BASE_SCHEMAS, TEXTS, base_table, warehouse
 from tidewatch import Warehouse
 from tidewatch.functions import hours_between, month_start, week_start
 from tidewatch.operators import checks, sketches
-from tidewatch.operators.incremental import lookback_filter, merge_by_key, sync_schema
+from tidewatch.operators.incremental import lookback_filter, merge_by_key, merge_into_table, sync_schema
 from tidewatch.operators.profile import close_order_anomalies, profile
 from tidewatch.operators.synonyms import build_synonyms, distinctive_keywords
 from tidewatch.plans import analyst, kept_marts, sql_functions
-from tidewatch.sources import Releases, lenient, shared_folder
+from tidewatch.sources import Releases, lenient, shared_folder, write_clustered
 from tidewatch.streaming.weekly import closed_weeks, count_weeks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,8 +36,8 @@ def _on(build: Callable[[Warehouse], DataFrame], **settings) -> Query:
     return lambda spark, sf_dir: build(warehouse(spark, sf_dir, **settings))
 
 
-def incremental_merge(model: Warehouse) -> DataFrame:
-    """The fact as loaded on a day in the past, then brought up to date by lookback and merge."""
+def loaded_and_batch(model: Warehouse) -> tuple[DataFrame, DataFrame]:
+    """The fact as loaded on a day in the past, and what a refresh after the last day merges into it."""
     until = F.lit(LOADED_UNTIL).cast("timestamp_ntz")
     fact = model.ticket_fact.select(*MERGED)
     known = F.col("resolved_at") <= until
@@ -52,7 +52,24 @@ def incremental_merge(model: Warehouse) -> DataFrame:
     recent = lookback_filter(model.tickets, days, "created_at", model.settings.lookback_days)
     batch = Warehouse(model.raw, model.settings)
     batch.tickets = recent
-    return merge_by_key(loaded, batch.ticket_fact.select(*MERGED), "ticket_id")
+    return loaded, batch.ticket_fact.select(*MERGED)
+
+
+def incremental_merge(model: Warehouse) -> DataFrame:
+    """The fact as loaded on a day in the past, then brought up to date by lookback and merge."""
+    return merge_by_key(*loaded_and_batch(model), "ticket_id")
+
+
+def clustered_merge(model: Warehouse) -> DataFrame:
+    """The same merge into a stored fact that is clustered by ticket."""
+    spark = model.raw["tickets"].sparkSession
+    name = f"clustered_{uuid4().hex}"
+    loaded, batch = loaded_and_batch(model)
+    write_clustered(
+        loaded, name, "ticket_id", "created_month", buckets=16, path=f"{shared_folder(spark)}/{name}"
+    )
+    merge_into_table(batch, name, "ticket_id", "created_month")
+    return spark.table(name)
 
 
 def kept(mart: str) -> Callable[[Warehouse], DataFrame]:
@@ -228,6 +245,7 @@ QUERIES: dict[str, Query] = {
     "theme_summary": _on(lambda w: w.theme_summary),
     "attribution_health": _on(lambda w: w.attribution_health),
     "incremental_merge": _on(incremental_merge),
+    "clustered_merge": _on(clustered_merge),
     "schema_sync": _on(schema_sync),
     "sketched_investors": _on(sketched_investors),
     "sketched_themes": _on(sketched_themes),

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewatch.sources.clusters import Clustering, clustering_of
 from tidewatch.sources.tables import Copies, write_table
 
 
@@ -98,7 +99,9 @@ def merge_into_table(
     copy (its path is logged) holds their new content and is inserted again.
 
     To find the partitions a key was in before, the table's keys are compared with the
-    batch. ``keys_stay`` says that no key ever changes its partition, which saves that.
+    batch. ``keys_stay`` says that no key ever changes its partition, which saves that. A table
+    clustered by ``key`` (``write_clustered``) is searched by its index of places instead, and neither the
+    index nor the table moves a row for the search or for taking the batch's keys out.
 
     A table format with row-level operations would take ``MERGE INTO`` here; built-in
     Parquet tables refuse it. A column that is new, gone or of another type in the batch is
@@ -118,29 +121,55 @@ def _merge(
     spark = batch.sparkSession
     batch = keep(batch)
     target = spark.table(table)
+    clustered = clustering_of(spark, table, partition)
+    if clustered is not None and clustered.key != key:
+        raise ValueError(f"{table} is clustered by {clustered.key}, not by {key}")
     if _columns(target) != _columns(batch):
-        write_table(keep(merge_by_key(target, batch, key)), table, partition)
+        merged = keep(merge_by_key(target, batch, key))
+        if clustered is None:
+            write_table(merged, table, partition)
+        else:
+            clustered.write(merged.select(*batch.columns))
         return
     touched = batch.select(partition)
-    if not keys_stay:
+    if clustered is not None:
+        known = keep(clustered.find(batch))
+        places = [F.col(f"b.{c}").eqNullSafe(F.col(f"k.{c}")) for c in (key, partition)]
+        clustered.add_places(batch.alias("b").join(known.alias("k"), places, "left_anti"))
+        touched = touched.union(known.select(partition))
+    elif not keys_stay:
         before = target.join(batch.select(key), key, "left_semi").select(partition)
         touched = touched.union(before)
     # bounded by the number of partitions of the table
     values = [r[0] for r in touched.distinct().collect()]
     if not values:
         return
-    merged = merge_by_key(target.filter(in_partitions(partition, values)), batch, key).select(*target.columns)
-    merged = keep(merged.hint("rebalance", partition))
+    merged = merged_partitions(batch, table, key, partition, values, clustered).select(*target.columns)
+    merged = keep(merged if clustered else merged.hint("rebalance", partition))
 
-    replace_partitions(merged, table, partition, values)
+    replace_partitions(merged, table, partition, values, clustered)
 
 
-def replace_partitions(content: DataFrame, table: str, partition: str, values: list) -> None:
+def merged_partitions(
+    batch: DataFrame, table: str, key: str, partition: str, values: list, clustered: Clustering | None = None
+) -> DataFrame:
+    """The partitions ``values`` of a table with the batch merged in."""
+    target = batch.sparkSession.table(table).filter(in_partitions(partition, values))
+    if clustered is None:
+        return merge_by_key(target, batch, key)
+    kept = target.join(clustered.deal(batch.select(key)), key, "left_anti")
+    return sync_schema(kept, batch.schema).unionByName(batch)
+
+
+def replace_partitions(
+    content: DataFrame, table: str, partition: str, values: list, clustered: Clustering | None = None
+) -> None:
     """Puts ``content``, a stored copy, in place of the partitions ``values`` of a table."""
     spark = content.sparkSession
     filled = {r[0] for r in content.select(partition).distinct().collect()}
     with _session_setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-        content.hint("rebalance", partition).write.insertInto(table, overwrite=True)
+        dealt = clustered.deal(content) if clustered else content.hint("rebalance", partition)
+        dealt.write.insertInto(table, overwrite=True)
     for value in set(values) - filled:
         literal = "null" if value is None else f"date '{value}'"
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition} = {literal})")

@@ -17,7 +17,7 @@ from tidewatch.plans import dimensions as dims
 from tidewatch.plans import facts, marts, sql_functions
 from tidewatch.plans.quality import RULES
 from tidewatch.settings import Settings
-from tidewatch.sources import Copies, Releases, write_table
+from tidewatch.sources import Copies, Releases, clustering_of, write_clustered, write_table
 
 MARTS = {
     "dim_partner": "dim_partner",
@@ -252,16 +252,21 @@ class Warehouse:
         """Makes the model's expressions available to ``spark.sql`` (see ``plans.sql_functions``)."""
         sql_functions.register(self.raw["tickets"].sparkSession)
 
-    def build(self, schema: str) -> Warehouse:
+    def build(self, schema: str, buckets: int | None = None) -> Warehouse:
         """Writes all marts as tables of ``schema``; later tables scan the earlier ones.
 
-        The fact is partitioned by creation month, which the refresh relies on. Tickets are
+        The fact is partitioned by creation month, which the refresh relies on. With ``buckets`` it is
+        clustered by ticket as well, so that merges find tickets without moving the fact. Tickets are
         resolved once, for the fact and the bridge.
         """
+
+        def write(name: str, df: DataFrame, by: str | None) -> DataFrame:
+            if name == FACT and buckets:
+                return write_clustered(df, f"{schema}.{name}", "ticket_id", by, buckets)
+            return write_table(df, f"{schema}.{name}", by)
+
         with Copies(self.raw["tickets"].sparkSession) as keep:
-            return self._written(
-                keep(self.resolved), lambda name, df, by: write_table(df, f"{schema}.{name}", by)
-            )
+            return self._written(keep(self.resolved), write)
 
     def _written(self, resolved: DataFrame, write) -> Warehouse:
         done: dict[str, DataFrame] = {}
@@ -309,8 +314,13 @@ class Warehouse:
     def refresh_fact(self, spark: SparkSession, table: str, full: bool = False) -> None:
         """Brings the stored fact up to date; ``full`` derives all of it again."""
         if full:
+            clustered = clustering_of(spark, table, "created_month")
             with Copies(spark) as keep:
-                write_table(keep(self.ticket_fact), table, "created_month")
+                fact = keep(self.ticket_fact)
+                if clustered is None:
+                    write_table(fact, table, "created_month")
+                else:
+                    clustered.write(fact)
             return
         batch = self.refresh_batch(spark, table)
         incremental.merge_into_table(batch, table, "ticket_id", "created_month")
