@@ -344,6 +344,19 @@ select ticket_id, requester_type, partner_id, partner_attribution_method, create
             end as resolution_hours
 from fact, (select max(cast(created_at as date)) - 3 as day from fact
             where created_at <= timestamp '1999-06-30') as cut""",
+    "close_ticket_pairs": """
+select close_id, k.partner_id, scheduled_close_date, ticket_id, cast(created_at as date) as created_date,
+       cast(date_diff('day', scheduled_close_date, cast(created_at as date)) as integer) as days_after
+from rich_k as k join fact on fact.partner_id = k.partner_id
+ and abs(date_diff('day', scheduled_close_date, cast(created_at as date))) <= 14""",
+    "close_ticket_measures": """
+select k.partner_id, scheduled_close_date, count(*) as tickets,
+       count(distinct requester_email) as requesters,
+       quantile_cont(resolution_hours, 0.5) as median_hours
+from (select distinct partner_id, scheduled_close_date from rich_k) as k
+join fact on fact.partner_id = k.partner_id
+ and abs(date_diff('day', scheduled_close_date, cast(created_at as date))) <= 14
+group by all""",
     "schema_sync": """
 select ticket_id, partner_id, created_at, cast(null as varchar) as channel from fact""",
     "kept_team_weekly": """

@@ -16,6 +16,7 @@ from tidewatch import Warehouse
 from tidewatch.functions import hours_between, month_start, week_start
 from tidewatch.operators import checks, sketches
 from tidewatch.operators.incremental import lookback_filter, merge_by_key, merge_into_table, sync_schema
+from tidewatch.operators.pairs import measures_around, pairs_around
 from tidewatch.operators.profile import close_order_anomalies, profile
 from tidewatch.operators.synonyms import build_synonyms, distinctive_keywords
 from tidewatch.plans import analyst, kept_marts, sql_functions
@@ -72,6 +73,26 @@ def clustered_merge(model: Warehouse) -> DataFrame:
     return spark.table(name)
 
 
+def near_pairs(model: Warehouse) -> DataFrame:
+    """Every close with every ticket of its partner within the window around it."""
+    closes = model.dim_close.select("close_id", "partner_id", "scheduled_close_date")
+    tickets = model.ticket_fact.select("ticket_id", "partner_id", "created_date")
+    return pairs_around(
+        closes, tickets, "partner_id", "scheduled_close_date", "created_date",
+        model.settings.window_days, "close_id", "ticket_id",
+    )
+
+
+def near_measures(model: Warehouse) -> DataFrame:
+    """Per partner and close date: median duration and distinct requesters of the tickets near it."""
+    return measures_around(
+        model.dim_close, model.ticket_fact, "partner_id", "scheduled_close_date", "created_date",
+        model.settings.window_days, "ticket_id", "resolution_hours", "requester_email",
+    ).withColumnsRenamed(
+        {"events": "tickets", "distinct_values": "requesters", "median_value": "median_hours"}
+    )
+
+
 def kept(mart: str) -> Callable[[Warehouse], DataFrame]:
     """A mart that followed the merge of ``incremental_merge``, from its state before and the change log."""
 
@@ -246,6 +267,8 @@ QUERIES: dict[str, Query] = {
     "attribution_health": _on(lambda w: w.attribution_health),
     "incremental_merge": _on(incremental_merge),
     "clustered_merge": _on(clustered_merge),
+    "close_ticket_pairs": _on(near_pairs),
+    "close_ticket_measures": _on(near_measures),
     "schema_sync": _on(schema_sync),
     "sketched_investors": _on(sketched_investors),
     "sketched_themes": _on(sketched_themes),
