@@ -65,6 +65,39 @@ def test_lowest_rank_and_leftmost_pair_come_first():
             assert not own.buckets and not any(own.words)
 
 
+@pytest.mark.parametrize("few", [0, 1 << 20])
+def test_pieces_that_share_a_queue_do_not_touch(monkeypatch, few):
+    monkeypatch.setattr(bpe, "FEW", few)
+    rng = random.Random(9)
+    for size in (8, 600, 70_000):
+        tokens = [b"a", b"b", b"c"]
+        tokens += sorted({bytes(rng.choices(b"abc", k=rng.randint(2, 5))) for _ in range(40)})
+        numbers = rng.sample(range(max(size, len(tokens))), len(tokens))
+        ranks = dict(zip(tokens, numbers, strict=True))
+        own = bpe.Bpe(ranks, public_tokenizers.PATTERN)
+        words = ["".join(rng.choices("abc", k=rng.randint(1, 20))) for _ in range(300)]
+        got = [np.frombuffer(ids, "<u4").tolist() for ids in own._packed_matches(words)]
+        pieces = [w.encode() for w in words]
+        assert got == [[ranks[p]] if p in ranks else merged_by_hand(ranks, p) for p in pieces]
+        assert not own.buckets and not any(own.words)
+
+
+def test_new_words_are_merged_together(pair, monkeypatch):
+    _, library = pair
+    own = bpe.Bpe(bpe.read_ranks(RANKS), public_tokenizers.PATTERN)
+    rng = random.Random(10)
+    words = ["".join(rng.choices("abcdethin", k=rng.randint(4, 12))) for _ in range(500)]
+    all_texts = ["", "x " + " ".join(words[:300]), "x  y\n z 12 " + ", ".join(words[200:]) + "."]
+    queues = []
+    merged = own._merged
+    monkeypatch.setattr(own, "_merged", lambda pieces: queues.append(len(pieces)) or merged(pieces))
+    own.learn(all_texts)
+    assert len(queues) == 1 and queues[0] > 300
+    del queues[:]
+    assert [own.encode(t) for t in all_texts] == [library.encode_ordinary(t) for t in all_texts]
+    assert sum(queues) < 5
+
+
 @pytest.mark.parametrize("with_ids", [False, True])
 def test_round_trip(spark, pair, with_ids):
     _, library = pair

@@ -9,7 +9,7 @@ each distinct stretch is encoded once and remembered.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import islice
 
 import pyarrow as pa
@@ -21,6 +21,9 @@ PART_BYTES = 1 << 21
 REMEMBERED = 1 << 19
 LONGEST = 48
 
+#: characters of new words that are encoded together
+LEARNED = 1 << 18
+
 #: \s of this module is wider than that of any tokenizer, so that a cut is safe in all of them
 _AFTER_SPACE = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S)(?= )")
@@ -56,22 +59,31 @@ class Remembered(dict):
     def __missing__(self, stretch: str) -> bytes:
         value = self.make(self.prefix + stretch)
         if len(stretch) <= LONGEST:
-            if len(self) >= REMEMBERED:
-                for late in list(islice(reversed(self), REMEMBERED // 2)):
-                    del self[late]
+            self.room(1)
             self[stretch] = value
         return value
 
+    def room(self, more: int) -> None:
+        if len(self) + more > REMEMBERED:
+            for late in list(islice(reversed(self), REMEMBERED // 2)):
+                del self[late]
+
 
 class StretchEncoder:
     """Encodes texts stretch by stretch; ``encode`` gives the ids of one match of ``split`` as bytes.
 
     A stretch of one match is remembered as such; of others the words are looked up among these and
-    the rest among ``matches``, so each match is encoded and remembered once.
+    the rest among ``matches``, so each match is encoded and remembered once. ``encode_all``, if there
+    is a way to encode many matches at once, is what ``learn`` uses.
     """
 
-    def __init__(self, encode: Callable[[str], bytes], split: Callable[[str], list[str]]):
-        self.encode, self.split = encode, split
+    def __init__(
+        self,
+        encode: Callable[[str], bytes],
+        split: Callable[[str], list[str]],
+        encode_all: Callable[[list[str]], list[bytes]] | None = None,
+    ):
+        self.encode, self.split, self.encode_all = encode, split, encode_all
         self.matches = Remembered(encode)
         self.plain = Remembered(self._stretch)
         self.spaced = Remembered(self._stretch, " ")
@@ -87,6 +99,30 @@ class StretchEncoder:
             return self.spaced[match[1:]]
         return self.matches[match]
 
+    def learn(self, texts: Iterable[str]) -> None:
+        """Encodes the words of ``texts`` that are not remembered yet together; ``packed`` finds them."""
+        if self.encode_all is None:
+            return
+        known, new, size = self.spaced, set(), 0
+        for text in texts:
+            for stretch in text.split(" "):
+                if stretch in known:
+                    continue
+                word = stretch[:-1] if stretch[-1:] in _MARKS else stretch
+                if word not in known and len(word) <= LONGEST and word.isalpha() and word not in new:
+                    new.add(word)
+                    size += len(word)
+            if size >= LEARNED:
+                self._learned(list(new))
+                new, size = set(), 0
+        self._learned(list(new))
+
+    def _learned(self, words: list[str]) -> None:
+        if words:
+            self.spaced.room(len(words))
+            found = self.encode_all([" " + word for word in words])
+            self.spaced.update(zip(words, found, strict=True))
+
     def packed(self, text: str) -> bytes:
         if _AFTER_SPACE.search(text):
             return b"".join(map(self.plain.__getitem__, _CUT.split(text)))
