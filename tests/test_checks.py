@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from helpers import AS_OF, at, day, model, records
 
@@ -96,6 +98,20 @@ def test_every_table_of_the_model_is_checked(spark):
     assert set(RULES) <= set(m.tables())
 
 
+def test_the_census_leaves_out_what_no_check_asks_for(spark):
+    """Accepted values and nulls of columns that are no key are not counted; the key's nulls are."""
+    df = spark.createDataFrame(
+        [(1, "low", None), (1, "odd", None), (None, None, 5), (None, "low", 1)], "k int, p string, r int"
+    )
+    rules = TableRules("k", accepted={"p": ("low",)}, references=(Reference("r", "t", "k"),))
+    found = checks.report({"t": df}, {"t": rules})
+    assert {(r.check_name, r.column_name): r.failures for r in found.collect()} == {
+        ("unique", "k"): 1, ("not_null", "k"): 2, ("accepted_values", "p"): 1, ("relationships", "r"): 1
+    }
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Filter .*isnotnull\(value#\d+\) OR \(probe#\d+ = 0\).*\n\s*\+- Generate stack", text)
+
+
 def test_profile(spark, child):
     got = {r["column_name"]: r for r in records(profile(child, ["k", "v"]))}
     assert (got["k"]["row_count"], got["k"]["nulls"], got["k"]["distinct_values"]) == (6, 2, 3)

@@ -7,6 +7,7 @@ from helpers import AS_OF, at, day, model, records
 from pyspark.sql import functions as F
 
 from tidewatch import Settings
+from tidewatch.operators import median
 from tidewatch.operators.median import exact_median
 from tidewatch.operators.nearby import counts_around
 from tidewatch.operators.spine import align
@@ -193,6 +194,17 @@ def test_exact_median(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_only_large_groups_are_cut_into_slots(spark, monkeypatch):
+    cut, in_slots = [], median._ranked_in_slots
+    monkeypatch.setattr(median, "_ranked_in_slots", lambda v, g: cut.append(v) or in_slots(v, g))
+    small = spark.range(4000).selectExpr("id % 400 as g", "double(id) as v", "1 as n")
+    large = spark.range(2001).selectExpr("-1L as g", "double(id * id) as v", "1 as n")
+    got = {r.g: r.m for r in exact_median(small.union(large), "g", "v", "n", "m").collect()}
+    assert got == {**{g: g + 1800.0 for g in range(400)}, -1: 1000.0**2}
+    assert {r.g for r in cut[0].collect()} == {-1}
+    assert exact_median(small, "g", "v", "n", "m").count() == 400 and cut[1].count() == 0
+
+
 def test_median_of_durations_within_an_hour(spark):
     """A bot whose tickets all close within the hour, to the microsecond."""
     rng = random.Random(4)

@@ -1,5 +1,6 @@
 """Releases: all tables or none, whatever fails on the way."""
 
+import threading
 from dataclasses import replace
 
 import pytest
@@ -146,3 +147,35 @@ def test_readers_keep_the_release_they_opened(spark, root):
     assert releases.sweep(keep=2) == []
     assert len(releases.sweep(keep=1)) == 1 and len(releases.all()) == 1
     assert releases.tables()["fct_tickets"].count() == 2
+
+
+def test_a_release_derives_staged_extracts_once(spark, root, tmp_path, monkeypatch):
+    """Tables start from copies of the staged investors and closes, not from the extracts again."""
+    m = model(spark, **EXTRACTS, closes=[{"close_id": "K1", "partner_id": "P1"}])
+    for name in ("investors", "closes"):
+        m.raw[name].write.parquet(f"{tmp_path}/raw-{name}")
+        m.raw[name] = spark.read.parquet(f"{tmp_path}/raw-{name}")
+    plans_of, write_table = {}, plans.Releases.write
+
+    def seen(self, release, name, df, *rest, **options):
+        plans_of[name] = df._jdf.queryExecution().optimizedPlan().toString() + str(df.inputFiles())
+        return write_table(self, release, name, df, *rest, **options)
+
+    monkeypatch.setattr(plans.Releases, "write", seen)
+    m.release(root)
+    assert set(plans_of) == {*plans.MARTS, plans.REPORT}
+    assert [n for n, text in plans_of.items() if "raw-" in text] == []
+    assert "once-" in plans_of["dim_investor"] and "once-" in plans_of["dim_fund_close"]
+
+
+def test_the_fact_and_the_bridge_are_written_at_once(spark, root, monkeypatch):
+    both, write_table = threading.Barrier(2, timeout=60), plans.Releases.write
+
+    def meets(self, release, name, *rest, **options):
+        if name.startswith("fct_"):
+            both.wait()
+        return write_table(self, release, name, *rest, **options)
+
+    monkeypatch.setattr(plans.Releases, "write", meets)
+    model(spark, **EXTRACTS).release(root)
+    assert Releases(spark, root).tables()["fct_ticket_tags"].count() == 2

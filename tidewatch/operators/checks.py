@@ -128,10 +128,11 @@ def _value_failures(tables: Mapping[str, DataFrame], checks: dict[int, _Check])
     Each table offers the values of its checked columns once, as held by the column or as known
     to it (its parent's); they are counted per check and value, combined before the shuffle. A
     value that a third of the rows hold is one row of a task, and no join is needed. The key's
-    nulls are among the values that its uniqueness needs anyway; of a column with accepted values
-    only the others are offered, so that little is left to shuffle.
+    nulls are among the values that its uniqueness needs anyway; nulls of other columns and values
+    that are accepted are not counted at all, so that little is left to count and to shuffle.
     """
     offers: dict[str, list[str]] = {}
+    keys = [n for n, c in checks.items() if c.kind == "unique"]
     for n, c in checks.items():
         value = f"cast({c.column} as string)"
         if c.accepted:
@@ -144,8 +145,9 @@ def _value_failures(tables: Mapping[str, DataFrame], checks: dict[int, _Check])
         tables[name].selectExpr(f"stack({len(o)}, {', '.join(o)}) as (probe, value, held, known)")
         for name, o in offers.items()
     ]
+    asked = F.col("value").isNotNull() | F.col("probe").isin(keys)
     census = (
-        reduce(DataFrame.unionByName, scans)
+        reduce(DataFrame.unionByName, (scan.filter(asked) for scan in scans))
         .groupBy("probe", "value")
         .agg(F.sum("held").alias("held"), F.max("known").alias("known"))
     )
@@ -187,10 +189,10 @@ def report(
         lines.append((probe, measure, c.name or c.kind, c.table, c.column, c.severity))
     found = [*_row_failures(tables, by_row), _value_failures(tables, by_value)]
     failures = reduce(DataFrame.unionByName, found)
-    lines = failures.sparkSession.createDataFrame(
-        lines,
-        "probe int, measure string, check_name string, table_name string, "
-        "column_name string, severity string",
+    listed = ", ".join(f"({probe}, {quoted(*texts)})" for probe, *texts in lines)
+    lines = failures.sparkSession.sql(
+        f"select * from values {listed} "
+        "as t(probe, measure, check_name, table_name, column_name, severity)"
     )
     count = F.coalesce("failures", F.lit(0))
     return lines.join(failures, ["probe", "measure"], "left").select(

@@ -118,12 +118,12 @@ def hot_keys(rows: DataFrame, **keys: Sequence[Column]) -> DataFrame:
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     offered = [
         F.struct(
-            F.lit(name).alias("name"),
+            F.lit(number).alias("name"),  # of fixed width: the key of the count is two numbers
             F.when(
                 reduce(and_, (c.isNotNull() for c in columns)), F.xxhash64(F.lit(name), *columns)
             ).alias("hash"),
         )
-        for name, columns in keys.items()
+        for number, (name, columns) in enumerate(keys.items())
     ]
     counts = (
         rows.select(F.inline(F.array(*offered)))

@@ -7,6 +7,8 @@ from math import isqrt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewatch.operators.lookup import hot_keys
+
 
 def _slot(value: str, bounds: Column, slots: int) -> Column:
     """How many of the sorted ``bounds`` lie below the value, in two steps of sqrt(slots)."""
@@ -24,16 +26,49 @@ def exact_median(counted: DataFrame, group: str, value: str, weight: str, out: s
     ``counted`` has one row per group and distinct value with the number of its occurrences. It is
     read several times; if it comes from an aggregate, Spark reuses that one's shuffle.
 
-    ``F.median`` keeps all distinct values of a group in the memory of one task. Here the range
-    of values is cut into as many slots as there are shuffle tasks, at approximate quantiles of
-    the rows of all groups, so that a slot holds about a task's share of rows whatever group they
-    are from. The slot with the middle rank follows from slot totals, and only the values of that
-    slot are put in order.
+    ``F.median`` keeps all distinct values of a group in the memory of one task. Here a group that has
+    no more values than a task's fair share is ordered whole, in one window that can spill; the few
+    others (``hot_keys``) are cut into slots.
     """
-    slots = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    values = counted.filter(F.col(value).isNotNull()).select(
+    values = counted.filter(F.col(value).isNotNull() & F.col(group).isNotNull()).select(
         group, F.col(value).alias("_v"), F.col(weight).alias("_n")
     )
+    hot = hot_keys(values, group=[F.col(group)])
+    hot = F.broadcast(hot.select(F.col("hash").alias("_hash"), F.col("salts").alias("_salts")))
+    is_hot = F.xxhash64(F.lit("group"), F.col(group)) == F.col("_hash")
+    columns = values.columns
+    small = values.join(hot, is_hot, "left").filter("_salts is null").select(*columns)
+    large = values.join(hot, is_hot).filter("_salts is not null").select(*columns)
+    ranked = [_ranked_whole(small, group), _ranked_in_slots(large, group)]
+
+    def at(rank: str) -> Column:
+        return F.max(F.expr(f"case when _through > {rank} and _through - _n <= {rank} then _v end"))
+
+    median = ((at("_low_rank") + at("_high_rank")) / 2).alias(out)
+    small, large = (rows.groupBy(group).agg(median) for rows in ranked)
+    return small.unionByName(large)
+
+
+def _ranked_whole(values: DataFrame, group: str) -> DataFrame:
+    """Values with the rows through them and the two middle ranks, each group ordered in one task."""
+    whole = Window.partitionBy(group)
+    return values.withColumns(
+        {"_through": F.sum("_n").over(whole.orderBy("_v")), "_total": F.sum("_n").over(whole)}
+    ).selectExpr(
+        *(group, "_v", "_n", "_through"),
+        *("(_total - 1) div 2 as _low_rank", "_total div 2 as _high_rank"),
+    )
+
+
+def _ranked_in_slots(values: DataFrame, group: str) -> DataFrame:
+    """The same for the values that may hold the middle ranks, of groups of any size.
+
+    The range of values is cut into as many slots as there are shuffle tasks, at approximate quantiles
+    of the rows of all groups, so that a slot holds about a task's share of rows whatever group they
+    are from. The slot with the middle rank follows from slot totals, and only the values of that
+    slot are put in order.
+    """
+    slots = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shares = [i / slots for i in range(1, slots)] or [0.5]
     bounds = values.agg(F.percentile_approx("_v", shares, 10 * slots)).scalar()
     values = values.withColumn("_bounds", bounds)
@@ -60,11 +95,6 @@ def exact_median(counted: DataFrame, group: str, value: str, weight: str, out: s
         .drop("_through")
     )
     in_slot = Window.partitionBy(group, "_slot").orderBy("_v")
-    ranked = values.join(chosen, [group, "_slot"]).withColumn(
+    return values.join(chosen, [group, "_slot"]).withColumn(
         "_through", F.col("_below") + F.sum("_n").over(in_slot)
     )
-
-    def at(rank: str) -> Column:
-        return F.max(F.expr(f"case when _through > {rank} and _through - _n <= {rank} then _v end"))
-
-    return ranked.groupBy(group).agg(((at("_low_rank") + at("_high_rank")) / 2).alias(out))

@@ -17,6 +17,14 @@ FACT_COLUMNS = (
     *("is_resolved", "is_open", "resolution_hours"),
 )
 
+#: what the fact and the bridge take from a resolved ticket
+RESOLVED_COLUMNS = (
+    *("ticket_id", "investor_id", "rm_id", "partner_id"),
+    *("requester_type", "requester_email", "requester_name", "partner_attribution_method"),
+    *("requester_matched_both", "investor_match_count", "rm_match_count"),
+    *("subject", "status", "priority", "partner_label", "created_at", "resolved_at", "tags_raw"),
+)
+
 
 def ticket_measures(tickets: DataFrame, settings: Settings) -> DataFrame:
     """Calendar columns, flags and duration of a ticket. They need no resolution, so a mart

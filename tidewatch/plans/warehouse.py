@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections import ChainMap
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from tidewatch.operators import checks, incremental
 from tidewatch.operators import lookup as lookups
@@ -47,6 +49,12 @@ STAGED = {
     "int_tickets": "resolved",
 }
 FACT = "fct_tickets"
+RESOLVED = "int_tickets"
+STAGED_EXTRACTS = ("partners", "managers", "entities", "investors", "closes", "tickets")
+#: staged extracts that tables of each step and the checks start from, besides the tickets
+KEPT = ("investors", "closes")
+#: tables that are written at a time
+AT_ONCE = 3
 
 
 #: in a release, the report of its checks
@@ -63,6 +71,12 @@ class AuditFailed(Exception):
         self.release, self.report = release, report
 
 
+def together(spark: SparkSession, run: Callable, items: Iterable) -> list:
+    """The results of ``run`` for each item; a few jobs at a time share the executors."""
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(run), items))
+
+
 class Warehouse:
     """Lazy tables over the raw extracts.
 
@@ -266,16 +280,48 @@ class Warehouse:
             return write_table(df, f"{schema}.{name}", by)
 
         with Copies(self.raw["tickets"].sparkSession) as keep:
-            return self._written(keep(self.resolved), write)
+            return Warehouse(self.raw, self.settings, self._staged(keep)._written(keep, write))
+
+    def _staged(self, keep: Copies, stored: Mapping[str, DataFrame] | None = None) -> Warehouse:
+        """The model with copies of the staged extracts that several of its tables start from."""
+        model = Warehouse(self.raw, self.settings, stored)
+        for name in STAGED_EXTRACTS:
+            setattr(model, name, getattr(self, name))
+        copies = together(keep.spark, keep, [getattr(self, n) for n in KEPT])
+        for name, copy in zip(KEPT, copies, strict=True):
+            setattr(model, name, copy)
+        return model
 
-    def _written(self, resolved: DataFrame, write) -> Warehouse:
+    def _on(self, stored: Mapping[str, DataFrame]) -> Warehouse:
+        """The same staged extracts and resolved tickets, with the tables stored so far."""
+        model = Warehouse(self.raw, self.settings, stored)
+        for name in (*STAGED_EXTRACTS, "resolved", "requesters"):
+            if name in self.__dict__:
+                setattr(model, name, getattr(self, name))
+        return model
+
+    def _written(self, keep: Copies, write) -> dict[str, DataFrame]:
+        """Writes the marts: first the dimensions, beside the copy of the resolved tickets, then the fact
+        and the bridge, then what scans them. Tables of a step do not need each other."""
         done: dict[str, DataFrame] = {}
-        for name, attr in MARTS.items():
-            model = Warehouse(self.raw, self.settings, done)
-            model.resolved = model.requesters = resolved
+
+        def written(name: str) -> DataFrame:
+            if name == RESOLVED:
+                return keep(self.resolved.select(*facts.RESOLVED_COLUMNS))
             partition = "created_month" if name == FACT else None
-            done[name] = write(name, getattr(model, attr), partition)
-        return Warehouse(self.raw, self.settings, done)
+            return write(name, getattr(self._on(done), MARTS[name]), partition)
+
+        steps = [
+            [RESOLVED, *(n for n in MARTS if n.startswith("dim_"))],
+            [n for n in MARTS if n.startswith("fct_")],
+            [n for n in MARTS if not n.startswith(("dim_", "fct_"))],
+        ]
+        for names in steps:
+            tables = dict(zip(names, together(keep.spark, written, names), strict=True))
+            if RESOLVED in tables:
+                self.resolved = self.requesters = tables.pop(RESOLVED)
+            done |= tables
+        return {name: done[name] for name in MARTS}
 
     def release(self, root: str, blocking: tuple[str, ...] = ("error",)) -> Warehouse:
         """Writes all marts beside the published ones, checks them, and publishes all or none.
@@ -289,16 +335,16 @@ class Warehouse:
         releases = Releases(spark, root)
         draft = releases.begin()
         with Copies(spark) as keep:
-            resolved = keep(self.resolved)
-            model = self._written(
-                resolved, lambda name, df, by: releases.write(draft, name, df, partition_by=by)
+            base = self._staged(keep)
+            done = base._written(
+                keep, lambda name, df, by: releases.write(draft, name, df, partition_by=by)
             )
-            report = releases.write(draft, REPORT, model.check(resolved))
+            report = releases.write(draft, REPORT, base._on(done)._report())
         stops = F.col("severity").isin(*blocking) & ~F.col("passed")
         if report.filter(stops).limit(1).count():
             raise AuditFailed(draft, report)
         releases.publish(draft)
-        return model
+        return Warehouse(self.raw, self.settings, done)
 
     def refresh_batch(self, spark: SparkSession, table: str) -> DataFrame:
         """Fact rows to be merged into ``table``: the lookback filter is applied to the raw
@@ -332,15 +378,19 @@ class Warehouse:
         they take; the rows that come back are as many as there are checks.
         """
         spark = self.raw["tickets"].sparkSession
+        with Copies(spark) as keep:
+            base = self._staged(keep, self.stored)
+            derived = [n for n in ("dim_investor", "dim_fund_close") if n not in base.stored]
+            copied = [getattr(base, MARTS[n]) for n in derived]
+            copied += [base.resolved] if resolved is None else []
+            copies = together(spark, keep, copied)
+            base.resolved = base.requesters = copies.pop() if resolved is None else resolved
+            return base._on({**base.stored, **dict(zip(derived, copies, strict=True))})._report()
+
+    def _report(self) -> DataFrame:
+        """The report of the checks, run on what the model is made of by now."""
         shared_email = checks.Overlap(
             "no_shared_email", "dim_investor", "email", "dim_relationship_manager", "rm_email"
         )
-        base = Warehouse(self.raw, self.settings, self.stored)
-        with Copies(spark) as keep:
-            base.resolved = base.requesters = keep(self.resolved) if resolved is None else resolved
-            for name in ("dim_investor", "dim_fund_close"):
-                if name not in base.stored:
-                    base.stored[name] = keep(getattr(base, MARTS[name]))
-                    base.__dict__.pop(MARTS[name])
-            report = checks.report(base.tables(), RULES, [shared_email])
-            return spark.createDataFrame(report.collect(), report.schema)
+        report = checks.report(self.tables(), RULES, [shared_email])
+        return report.sparkSession.createDataFrame(report.collect(), report.schema)
