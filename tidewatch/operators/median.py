@@ -38,7 +38,8 @@ def exact_median(counted: DataFrame, group: str, value: str, weight: str, out: s
     is_hot = F.xxhash64(F.lit("group"), F.col(group)) == F.col("_hash")
     columns = values.columns
     small = values.join(hot, is_hot, "left").filter("_salts is null").select(*columns)
-    large = values.join(hot, is_hot).filter("_salts is not null").select(*columns)
+    # ever true, but known only after the join: so both joins read the same columns, in one broadcast
+    large = values.join(hot, is_hot).filter("_n * _salts > 0").select(*columns)
     ranked = [_ranked_whole(small, group), _ranked_in_slots(large, group)]
 
     def at(rank: str) -> Column:
